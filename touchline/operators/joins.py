@@ -42,29 +42,34 @@ def _row_salt(df: DataFrame, salts: int) -> Column:
     return F.pmod(F.xxhash64(*[F.col(f"`{c}`") for c in df.columns]), F.lit(salts)).cast("int")
 
 
-def join_unique(
-    left: DataFrame,
-    right: DataFrame,
-    on: Sequence[str],
-    how: str = "left",
-    salts: int = SALTS,
-    hashable_left: bool = True,
+def salted_join(
+    left: DataFrame, right: DataFrame, on: Sequence[str], how: str, salts: int = SALTS
 ) -> DataFrame:
-    """Join ``left`` (any skew) to ``right`` (few rows per key).
+    """Shuffle join in which every key of ``left`` is spread over ``salts`` groups.
 
-    ``how`` is ``left``, ``inner``, ``left_semi`` or ``left_anti``: the joins for which
-    repeating the right side per salt leaves the result unchanged.
+    The right side is repeated per salt. ``how`` is ``left``, ``inner``, ``left_semi`` or
+    ``left_anti``: the joins whose result that leaves unchanged.
     """
-    on = list(on)
     if how not in ("left", "inner", "left_semi", "left_anti"):
         raise ValueError(f"a salted {how} join would repeat rows")
-    if salts <= 1 or fits_broadcast(right):
-        return left.join(right, on, how)
     spread = left.withColumn("_salt", _row_salt(left, salts))
     copies = right.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
     return spread.join(copies, [*on, "_salt"], how).drop("_salt")
 
 
+def join_unique(
+    left: DataFrame,
+    right: DataFrame,
+    on: Sequence[str],
+    how: str = "left",
+    salts: int = SALTS,
+) -> DataFrame:
+    """Join ``left`` (any skew) to ``right`` (few rows per key), salted if ``right`` is large."""
+    if salts <= 1 or fits_broadcast(right):
+        return left.join(right, list(on), how)
+    return salted_join(left, right, on, how, salts)
+
+
 def lookup_first(
     left: DataFrame,
     right: DataFrame,

@@ -4,13 +4,13 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
+from touchline.functions.casting import lenient, strict
 from touchline.functions.status import fetch_status
 from touchline.functions.text import match_info
 from touchline.operators.filters import split_status
 from touchline.operators.joins import gaps, side_team
 from touchline.operators.marks import batch_counts, batch_id, candidate_ids, union_max
-from touchline.operators.project import mapped
-from touchline.schemas import CHUNK_SIZE, LOOK_BACK, ROSTER_MAPPING
+from touchline.schemas import CHUNK_SIZE, LOOK_AHEAD, LOOK_BACK, ROSTER_MAPPING
 from touchline.sinks.writers import stage, write_pair
 from touchline.sources.payloads import explode_rosters, with_match_info
 from touchline.sources.tables import Warehouse
@@ -41,19 +41,29 @@ def games(ok: DataFrame) -> DataFrame:
     )
 
 
-def player_rows(ok: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
-    """One row per player of the accepted matches, with the team of their side."""
+def roster_rows(ok: DataFrame) -> DataFrame:
+    """One row per player of the accepted matches, fields as text, team from the side."""
     flat = ok.select(
-        KEY, F.col("info.team_h").alias("home"), F.col("info.team_a").alias("away"), "api_json", *keep
+        KEY, F.col("info.team_h").alias("home"), F.col("info.team_a").alias("away"), "api_json"
     )
-    return explode_rosters(flat, "api_json", (KEY, "home", "away", *keep)).select(
-        F.col(KEY),
+    return explode_rosters(flat, "api_json", (KEY, "home", "away")).select(
+        KEY,
         side_team(F.col("side"), F.col("home"), F.col("away")).alias("team"),
-        *mapped(ROSTER_MAPPING),
-        *keep,
+        *[F.col(src).alias(dst) for src, dst, _ in ROSTER_MAPPING],
     )
 
 
+def player_rows(ok: DataFrame) -> DataFrame:
+    """Stored columns of the players; a bad or missing number fails the job."""
+    numbers = {dst: strict(F.col(dst), ty) for _, dst, ty in ROSTER_MAPPING if ty != "string"}
+    return roster_rows(ok).withColumns(numbers)
+
+
+def player_rows_lenient(ok: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(stored columns of the players, players with a bad or missing number as text)."""
+    return lenient(roster_rows(ok), {dst: ty for _, dst, ty in ROSTER_MAPPING if ty != "string"})
+
+
 def chunked(ids: DataFrame, mark: DataFrame) -> DataFrame:
     """Candidate ids with their chunk number."""
     first = mark.scalar() - LOOK_BACK
@@ -76,7 +86,7 @@ def attempt(pages: DataFrame, rosters: DataFrame, mark: DataFrame) -> DataFrame:
     The landed tables are cut to the candidate range before they are joined.
     """
     ids = chunked(candidate_ids(mark, name=KEY), mark)
-    near = F.col(KEY).between(mark.scalar() - LOOK_BACK, mark.scalar() - LOOK_BACK + 200)
+    near = F.col(KEY).between(mark.scalar() - LOOK_BACK, mark.scalar() + LOOK_AHEAD)
     landed = ids.join(pages.where(near), KEY, "left")
     return classify(landed, rosters.where(near), (KEY, "batch_id"))
 

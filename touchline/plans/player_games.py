@@ -24,7 +24,8 @@ def increment(
     """New history records of the known players, mapped to stored columns.
 
     ``payloads`` is ``(player_id, payload)``, ``ids`` the known player ids, ``mark`` the
-    last stored gameweek. The semi join runs on the unopened payloads.
+    last stored gameweek. The semi join runs on the unopened payloads. Of master rows
+    sharing an id the last by ``pos`` counts.
     """
     wanted = semi(payloads, ids, ["player_id"])
     records = after_mark(histories(wanted), "round", mark)
@@ -33,10 +34,11 @@ def increment(
             F.col("id").alias("player_id"),
             F.col("code").cast("string").alias("opta_id"),
             F.col("team").alias("fpl_team_id"),
+            F.col("pos"),
         ),
         ["player_id"],
-        [F.col("opta_id").desc(), F.col("fpl_team_id").desc()],
-    )
+        [F.col("pos").desc()],
+    ).drop("pos")
     return join_unique(records, meta, ["player_id"], "left").select(
         F.col("player_id").alias("fpl_player_id"), "opta_id", "fpl_team_id", *mapped(STORED_MAPPING)
     )

@@ -29,8 +29,9 @@ def source_players(elements: DataFrame, run_date: Column) -> DataFrame:
 def resolve(
     source: DataFrame, known: DataFrame, order: list[str], threshold: float = PLAYER_THRESHOLD
 ) -> DataFrame:
-    """Source rows with ``player_id``, ``match_name`` and ``score``; NULL id means no match.
+    """Source rows with ``player_id``, ``match_name``, ``score`` and ``match_step``.
 
+    Step 1 is a match by source id, step 2 one by name; a NULL ``player_id`` means neither.
     ``known`` has player_id, name and opta_id; ``order`` says which of several known
     rows counts as first.
     """
@@ -39,7 +40,9 @@ def resolve(
     ).drop(*[c for c in order if c not in source.columns])
     matched, open_ = split_matched(by_id, "player_id")
     by_name = fuzzy_join(open_.drop("player_id"), known, "player_id", order, threshold)
-    return concat_by_name(matched, by_name)
+    return concat_by_name(
+        matched.withColumn("match_step", F.lit(1)), by_name.withColumn("match_step", F.lit(2))
+    )
 
 
 def add_players(wh: Warehouse, elements: DataFrame, run_date: Column) -> dict[str, dict[str, int]]:
@@ -49,7 +52,7 @@ def add_players(wh: Warehouse, elements: DataFrame, run_date: Column) -> dict[st
     matched, unmatched = split_matched(resolved, "player_id")
     return {
         "mapped": insert_if_absent(
-            wh, "staging.fpl_player_mapping", matched, ["fpl_seasonal_id", "name"]
+            wh, "staging.fpl_player_mapping", matched, ["match_step", "fpl_seasonal_id"]
         ),
         "for_review": insert_if_absent(
             wh, "raw.fpl_player_manual_review", unmatched, ["fpl_seasonal_id"]

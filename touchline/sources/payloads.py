@@ -42,9 +42,14 @@ def explode_array(df: DataFrame, array: str, keep: tuple[str, ...] = ()) -> Data
     return df.select(*keep, F.inline(array))
 
 
+def explode_positions(df: DataFrame, array: str, keep: tuple[str, ...] = ()) -> DataFrame:
+    """As ``explode_array``, with the element's place in the array as ``pos``."""
+    return df.select(*keep, F.posexplode(array).alias("pos", "_e")).select(*keep, "pos", "_e.*")
+
+
 def players(df: DataFrame, column: str = "payload") -> DataFrame:
-    """Master players: id, first_name, second_name, code, element_type, team."""
-    return explode_array(parse_payload(df.select(column), column, PLAYERS_PAYLOAD), "elements")
+    """Master players: pos, id, first_name, second_name, code, element_type, team."""
+    return explode_positions(parse_payload(df.select(column), column, PLAYERS_PAYLOAD), "elements")
 
 
 def teams(df: DataFrame, column: str = "payload") -> DataFrame:

@@ -24,13 +24,17 @@ class Warehouse:
         return T.StructType([T.StructField("id", T.LongType()), *TABLES[table].schema.fields])
 
     def read(self, table: str) -> DataFrame:
-        schema = self.schema(table)
-        try:
-            return self.spark.read.schema(schema).parquet(self.path(table))
-        except AnalysisException as e:
-            if e.getCondition() != "PATH_NOT_FOUND":
-                raise
-            return empty(self.spark, schema)
+        return read_or_empty(self.spark, self.path(table), self.schema(table))
+
+
+def read_or_empty(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
+    """The Parquet folder, or no rows while it does not exist."""
+    try:
+        return spark.read.schema(schema).parquet(path)
+    except AnalysisException as e:
+        if e.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return empty(spark, schema)
 
 
 def empty(spark: SparkSession, schema: T.StructType) -> DataFrame:

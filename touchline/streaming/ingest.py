@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
@@ -10,8 +10,9 @@ from pyspark.sql.streaming import StreamingQuery
 from touchline.operators.filters import split_status
 from touchline.plans.matches import KEY, classify, games, player_rows
 from touchline.schemas import MATCH_PAGE
+from touchline.sinks.planning import insert_absent
 from touchline.sinks.writers import stage, write_pair
-from touchline.sources.tables import Warehouse
+from touchline.sources.tables import Warehouse, read_or_empty
 
 # One landed document per match: the page fields and the roster fields.
 MATCH_DOCUMENT = MATCH_PAGE + ", api_status int, api_json string"
@@ -31,6 +32,21 @@ def run_available(
     return query
 
 
+def insert_available(
+    source: DataFrame, target: str, keys: Sequence[str], order: Sequence[str], checkpoint: str
+) -> StreamingQuery:
+    """Insert-if-absent what has landed into the Parquet folder ``target``."""
+    spark, schema = source.sparkSession, source.schema
+
+    def each(batch: DataFrame, _: int) -> None:
+        rows, n = stage(batch, "stream")
+        if n:
+            held = read_or_empty(spark, target, schema)
+            insert_absent(rows, held, keys, order).write.mode("append").parquet(target)
+
+    return run_available(source, each, checkpoint)
+
+
 def landed_matches(spark: SparkSession, path: str, files_per_batch: int = 25) -> DataFrame:
     """Stream of landed match documents, JSON lines."""
     return (
