@@ -11,7 +11,7 @@ from touchline.catalog.sources import history_payloads
 from touchline.operators.filters import split_status
 from touchline.operators.marks import batch_counts, filtered_max, union_max
 from touchline.plans import matches, player_games, players, teams
-from touchline.session import fresh_dir
+from touchline.session import fresh_dir, materialise
 from touchline.sources.tables import param_union
 from touchline.streaming.ingest import insert_available
 
@@ -174,7 +174,7 @@ MATCH_SQL = """
 )
 def ingest_matches(t: Tables) -> DataFrame:
     """Players of all accepted matches: page, embedded data, league, roster, sides, casts."""
-    ok, _ = split_status(matches.classify(match_pages(t), match_rosters(t)))
+    ok, _ = split_status(materialise(matches.classify(match_pages(t), match_rosters(t)), "matches"))
     return matches.player_rows(ok).select(
         "understat_game_id", "team", "name", "minutes_played", "shots", "goals", "assists",
         "expected_goals", "expected_assists", "key_passes",
@@ -190,7 +190,7 @@ def ingest_matches(t: Tables) -> DataFrame:
     """,
 )
 def ingest_match_games(t: Tables) -> DataFrame:
-    ok, _ = split_status(matches.classify(match_pages(t), match_rosters(t)))
+    ok, _ = split_status(materialise(matches.classify(match_pages(t), match_rosters(t)), "matches"))
     return matches.games(ok)
 
 

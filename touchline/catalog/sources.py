@@ -7,6 +7,7 @@ from pyspark.sql import DataFrame, functions as F
 from touchline.catalog import Tables, query
 from touchline.functions.text import regex_capture
 from touchline.operators.marks import candidate_ids, union_max
+from touchline.session import spread
 from touchline.sources import payloads
 from touchline.sources.tables import param_union, scan, scan_distinct
 
@@ -42,7 +43,8 @@ def src_json_array(t: Tables) -> DataFrame:
         F.lit(7).alias("team"),
     )
     elements = F.when(F.col("o_orderstatus") == "F", F.array(first, second)).otherwise(F.array(first))
-    docs = t.orders.select(F.to_json(F.struct(elements.alias("elements"))).alias("payload"))
+    orders = spread(t.orders.select("o_orderkey", "o_custkey", "o_orderstatus", "o_orderpriority"))
+    docs = orders.select(F.to_json(F.struct(elements.alias("elements"))).alias("payload"))
     return payloads.players(docs)
 
 
@@ -76,7 +78,8 @@ def history_payloads(lineitem: DataFrame) -> DataFrame:
     payload = F.when(F.col("l_returnflag") == "R", F.lit('{"fixtures":[]}')).otherwise(
         F.to_json(F.struct(history.alias("history")))
     )
-    return lineitem.select(F.col("l_partkey").alias("player_id"), payload.alias("payload"))
+    rows = lineitem.select("l_partkey", "l_suppkey", "l_linenumber", "l_quantity", "l_returnflag", "l_shipdate")
+    return spread(rows).select(F.col("l_partkey").alias("player_id"), payload.alias("payload"))
 
 
 @query(
@@ -143,7 +146,8 @@ def src_map_explode(t: Tables) -> DataFrame:
         F.when(kind == "error", F.lit("[]")).otherwise(F.to_json(away)),
         F.lit("}}"),
     )
-    docs = t.events.select("event_id", doc.alias("doc"))
+    events = spread(t.events.select("event_id", "user_id", "event_type"))
+    docs = events.select("event_id", doc.alias("doc"))
     return payloads.explode_rosters(docs, "doc", ("event_id",)).select(
         "event_id", "side", "player", "time", "shots"
     )

@@ -77,9 +77,13 @@ def token_set(a: Column, b: Column) -> Column:
     )
 
 
+# Not pushed through filters on the score: that would score every pair twice.
+_combined_once = _combined.asNondeterministic()
+
+
 def combined(a: Column, b: Column) -> Column:
     """The combined score of two normalised names."""
-    return _combined(a, b)
+    return _combined_once(a, b)
 
 
 def rounded(score: Column) -> Column:

@@ -48,9 +48,8 @@ def match_info_text(html: Column) -> Column:
 
 def match_info(text: Column) -> Column:
     """Parsed match data; NULL when missing, malformed or an empty object."""
-    parsed = F.from_json(text, MATCH_INFO, {"mode": "PERMISSIVE"})
-    usable = F.is_valid_json(text) if hasattr(F, "is_valid_json") else F.json_object_keys(text).isNotNull()
-    return F.when(usable & ~text.rlike(r"^\s*\{\s*\}\s*$"), parsed)
+    usable = F.json_object_keys(text).isNotNull() & ~text.rlike(r"^\s*\{\s*\}\s*$")
+    return F.when(usable, F.from_json(text, MATCH_INFO))
 
 
 def parse_month_day_year(text: Column, strict: bool = True) -> Column:

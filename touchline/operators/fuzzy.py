@@ -38,8 +38,8 @@ from touchline.functions.name_scores import (
     TOKEN_WEIGHT,
 )
 from touchline.functions.text import normalise_name
-from touchline.operators.dedupe import first_per_key
 from touchline.operators.joins import join_unique
+from touchline.session import materialise
 
 # Scores with a closed form, written as the scorer computes them.
 TOKEN_FLOOR = 100.0 * TOKEN_WEIGHT * PARTIAL_WEIGHT
@@ -147,7 +147,9 @@ def _candidates(lefts: DataFrame, rights: DataFrame, cut: float, pairs: bool) ->
 
     forward = looked_up(left, right).select(F.col("n_norm").alias("norm"), F.col("h_norm").alias("other"))
     backward = looked_up(right, left).select(F.col("h_norm").alias("norm"), F.col("n_norm").alias("other"))
-    return forward.union(backward)
+    # Both ways may find a pair. The shuffle also spreads the pairs evenly for scoring,
+    # whatever gram they met at.
+    return forward.union(backward).distinct()
 
 
 def _first_by_size(df: DataFrame, key: str) -> DataFrame:
@@ -207,24 +209,23 @@ def best_names(lefts: DataFrame, rights: DataFrame, threshold: float) -> DataFra
     """Best partner of each distinct name at or above the threshold.
 
     ``lefts`` has ``norm``; ``rights`` has ``norm`` and ``place``, a struct that sorts in
-    list order. Returns ``(norm, score, place)`` with the unrounded score.
+    list order. Returns ``(norm, score, place)`` with the unrounded score. Names are read
+    several times, so what is settled early is written to the shared folder.
     """
     cut = threshold - 0.5  # scores are rounded before they are compared
     pairs = threshold >= PAIR_THRESHOLD
-    equal = lefts.join(rights, "norm").select("norm", F.lit(100.0).alias("score"), "place")
-    open_ = lefts.join(rights.select("norm"), "norm", "left_anti")
+    rights = materialise(rights, "right-names")
+    lefts = materialise(lefts.join(rights, "norm", "left"), "left-names")
+    equal = lefts.where("place IS NOT NULL").select("norm", F.lit(100.0).alias("score"), "place")
+    open_ = lefts.where("place IS NULL").select("norm")
     floors = _floors(open_, rights, cut, pairs)
-    found = [equal]
-    if floors is None:
-        open_ = open_.withColumn("cut", F.lit(cut))
+    if floors is not None:
+        open_ = materialise(open_.join(floors, "norm", "left"), "open-names")
+        found = equal.union(open_.where("score IS NOT NULL"))
+        open_ = open_.select("norm", F.coalesce("score", F.lit(cut)).alias("cut"))
     else:
-        found.append(floors)
-        reached = floors.select("norm", F.col("score").alias("floor"))
-        open_ = (
-            open_.join(reached, "norm", "left")
-            .withColumn("cut", F.greatest(F.lit(cut), F.coalesce("floor", F.lit(cut))))
-            .drop("floor")
-        )
+        found = equal
+        open_ = open_.withColumn("cut", F.lit(cut))
     scored = (
         _candidates(open_, rights, cut, pairs)
         .withColumn("score", similarity.combined(F.col("norm"), F.col("other")))
@@ -232,13 +233,10 @@ def best_names(lefts: DataFrame, rights: DataFrame, threshold: float) -> DataFra
         .join(rights.select(F.col("norm").alias("other"), "place"), "other")
         .select("norm", "score", "place")
     )
-    found.append(scored)
-    everything = found[0]
-    for f in found[1:]:
-        everything = everything.union(f)
     best = F.min(F.struct((-F.col("score")).alias("neg"), "place")).alias("best")
     return (
-        everything.groupBy("norm")
+        found.union(scored)
+        .groupBy("norm")
         .agg(best)
         .select("norm", (-F.col("best.neg")).alias("score"), "best.place")
         .where(similarity.rounded(F.col("score")) >= threshold)
@@ -252,13 +250,16 @@ def fuzzy_join(
     order: Sequence[str],
     threshold: float = 80,
     name: str = "name",
+    only: Column | None = None,
 ) -> DataFrame:
     """Give each left row the id of the best-scoring right name.
 
     Adds ``right_id``, ``match_name`` and the rounded ``score``. Without a match an id the
     left row already had is kept, otherwise it is NULL. The same right name may serve
     many left rows; of right rows sharing a name the first by ``order`` gives the id,
-    and of names with equal scores the one that comes first.
+    and of names with equal scores the one that comes first. With ``only``, other left
+    rows pass through unmatched. The distinct names are written to the shared folder
+    when this is called; the rows themselves are joined lazily.
     """
     if threshold <= 0:
         raise ValueError("the threshold must be above 0")
@@ -271,8 +272,9 @@ def fuzzy_join(
             F.col(right_id).alias("id"),
         ).alias("place"),
     )
-    rights = first_per_key(named.where("norm <> ''"), ["norm"], ["place"])
-    keyed = left.withColumn("_norm", normalise_name(F.col(name)))
+    rights = named.where("norm <> ''").groupBy("norm").agg(F.min("place").alias("place"))
+    asked = normalise_name(F.col(name))
+    keyed = left.withColumn("_norm", asked if only is None else F.when(only, asked))
     lefts = keyed.where("_norm <> ''").select(F.col("_norm").alias("norm")).distinct()
     best = best_names(lefts, rights, threshold).select(
         F.col("norm").alias("_norm"),
@@ -280,7 +282,7 @@ def fuzzy_join(
         F.col("place.name").alias("match_name"),
         similarity.rounded(F.col("score")).alias("score"),
     )
-    matched = join_unique(keyed, best, ["_norm"], "left")
+    matched = join_unique(keyed, materialise(best, "best-names"), ["_norm"], "left")
     before = F.col(right_id) if right_id in left.columns else F.lit(None)
     kept = [c for c in left.columns if c != right_id]
     return matched.select(

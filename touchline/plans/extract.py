@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from datetime import date
+
+from pyspark.sql import DataFrame
 
 from touchline.plans.matches import add_matches
 from touchline.plans.player_games import add_player_games
@@ -16,7 +18,7 @@ def run_extract(
     histories: DataFrame,
     pages: DataFrame,
     rosters: DataFrame,
-    run_date: Column,
+    run_date: date,
     run_id: str,
 ) -> dict[str, dict]:
     """Teams are a run of their own (``teams.add_teams``)."""

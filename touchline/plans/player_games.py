@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from datetime import date
+
 from pyspark.sql import Column, DataFrame, functions as F
 
 from touchline.functions.text import season_label
@@ -44,7 +46,7 @@ def increment(
     )
 
 
-def known_ids(wh: Warehouse, season: object) -> DataFrame:
+def known_ids(wh: Warehouse, season: Column) -> DataFrame:
     """Ids of the season's players, mapped or waiting for review."""
     sources = [
         (wh.read("staging.fpl_player_mapping"), "season", "fpl_seasonal_id"),
@@ -57,7 +59,7 @@ def add_player_games(
     wh: Warehouse,
     elements: DataFrame,
     payloads: DataFrame,
-    run_date: Column,
+    run_date: date,
     run_id: str,
     natural_key: bool = False,
 ) -> dict[str, object]:
@@ -66,11 +68,11 @@ def add_player_games(
     The table has no unique key, so rows are appended as they are; ``natural_key``
     makes the load repeatable instead. Unreadable payloads come back as ``rejects``.
     """
-    season = wh.spark.range(1).select(season_label(run_date)).first()[0]
+    season = season_label(F.lit(run_date))
     games = wh.read("analytics.games")
     mark = filtered_max(games, F.col("season") == season, "gw")
     rows = increment(payloads, elements, known_ids(wh, season), mark)
-    rows = stamp_run_id(rows.withColumn("season", F.lit(season)), run_id)
+    rows = stamp_run_id(rows.withColumn("season", season), run_id)
     if natural_key:
         done: dict[str, object] = dict(
             insert_if_absent(

@@ -2,23 +2,24 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, functions as F
+from datetime import date
+
+from pyspark.sql import DataFrame, functions as F
 
 from touchline.functions.casting import text_key
 from touchline.functions.text import full_name, season_label
 from touchline.operators.filters import split_matched
 from touchline.operators.fuzzy import fuzzy_join
 from touchline.operators.joins import lookup_first
-from touchline.operators.sets import concat_by_name
 from touchline.schemas import PLAYER_THRESHOLD
 from touchline.sinks.writers import insert_if_absent, stage
 from touchline.sources.tables import Warehouse
 
 
-def source_players(elements: DataFrame, run_date: Column) -> DataFrame:
+def source_players(elements: DataFrame, run_date: date) -> DataFrame:
     """Rows of the master payload under stored names, with the season of the run date."""
     return elements.select(
-        season_label(run_date).alias("season"),
+        season_label(F.lit(run_date)).alias("season"),
         F.col("id").alias("fpl_seasonal_id"),
         full_name(F.col("first_name"), F.col("second_name")).alias("name"),
         text_key(F.col("code")).alias("opta_id"),
@@ -38,14 +39,13 @@ def resolve(
     by_id = lookup_first(
         source, known.select("opta_id", "player_id", *order), "opta_id", order
     ).drop(*[c for c in order if c not in source.columns])
-    matched, open_ = split_matched(by_id, "player_id")
-    by_name = fuzzy_join(open_.drop("player_id"), known, "player_id", order, threshold)
-    return concat_by_name(
-        matched.withColumn("match_step", F.lit(1)), by_name.withColumn("match_step", F.lit(2))
+    flagged = by_id.withColumn("match_step", F.when(F.col("player_id").isNotNull(), 1).otherwise(2))
+    return fuzzy_join(
+        flagged, known, "player_id", order, threshold, only=F.col("player_id").isNull()
     )
 
 
-def add_players(wh: Warehouse, elements: DataFrame, run_date: Column) -> dict[str, dict[str, int]]:
+def add_players(wh: Warehouse, elements: DataFrame, run_date: date) -> dict[str, dict[str, int]]:
     """Resolve and store one master payload."""
     source, _ = stage(source_players(elements, run_date), "players")
     resolved, _ = stage(resolve(source, wh.read("staging.fpl_player_mapping"), ["id"]), "resolved")

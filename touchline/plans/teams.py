@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, functions as F
+from datetime import date
+
+from pyspark.sql import DataFrame, functions as F
 
 from touchline.functions.text import season_label
 from touchline.operators.dedupe import first_per_key
@@ -10,7 +12,6 @@ from touchline.operators.filters import split_matched
 from touchline.operators.fuzzy import fuzzy_join
 from touchline.operators.joins import left_by_name
 from touchline.operators.project import prune, rename
-from touchline.operators.sets import concat_by_name
 from touchline.schemas import TEAM_THRESHOLD
 from touchline.sinks.writers import append_new_names, insert_if_absent, insert_strict, stage
 from touchline.sources.tables import Warehouse
@@ -30,13 +31,14 @@ def resolve(
 ) -> DataFrame:
     """Source teams with ``team_id``: the id mapped to the name before, else the best master name."""
     by_name = left_by_name(source, mapped.select("name", "team_id"), "name")
-    matched, open_ = split_matched(by_name, "team_id")
-    fuzzy = fuzzy_join(open_.drop("team_id"), masters, "id", order, threshold)
-    return concat_by_name(matched, rename(fuzzy, {"id": "team_id"}))
+    masters = masters.withColumn("team_id", F.col("id"))
+    return fuzzy_join(
+        by_name, masters, "team_id", order, threshold, only=F.col("team_id").isNull()
+    )
 
 
 def add_teams(
-    wh: Warehouse, teams: DataFrame, run_date: Column, strict: bool = False
+    wh: Warehouse, teams: DataFrame, run_date: date, strict: bool = False
 ) -> dict[str, int]:
     """Resolve and store one team payload.
 
@@ -44,7 +46,7 @@ def add_teams(
     """
     found = resolve(
         source_teams(teams), wh.read("staging.fpl_team_mapping"), wh.read("analytics.teams"), ["id"]
-    ).withColumn("season", season_label(run_date))
+    ).withColumn("season", season_label(F.lit(run_date)))
     resolved, _ = stage(found, "teams")
     matched, unmatched = split_matched(resolved, "team_id")
     if strict:

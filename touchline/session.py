@@ -5,7 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 # What the library relies on. Everything else is left to the cluster.
 SETTINGS = {
@@ -36,20 +36,41 @@ def local_session(cpus: int | str = "*", shuffle_partitions: int = 8, **extra: s
 def shared_dir(spark: SparkSession) -> str:
     """Root of the shared folder named by ``spark.checkpoint.dir``.
 
-    Only a local session may go without: there a fresh temporary folder is used
-    and remembered. On a cluster a missing setting is an error, since a folder on
-    the driver's disk is not visible to the executors.
+    Only a local session may go without: there a temporary folder is set once. On a
+    cluster a missing setting is an error, since a folder on the driver's disk is not
+    visible to the executors.
     """
-    root = spark.conf.get("spark.checkpoint.dir", None)
-    if root:
-        return root.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
-        raise RuntimeError("set spark.checkpoint.dir to a folder every executor can reach")
-    root = tempfile.mkdtemp(prefix="touchline-")
-    spark.conf.set("spark.checkpoint.dir", root)
-    return root
+    context = spark.sparkContext
+    root = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
+    if root is None:
+        if not context.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder every executor can reach")
+        context.setCheckpointDir(tempfile.mkdtemp(prefix="touchline-"))
+        root = context.getCheckpointDir()
+    return root.rstrip("/")
 
 
 def fresh_dir(spark: SparkSession, purpose: str) -> str:
     """A new, unused path below the shared folder."""
     return f"{shared_dir(spark)}/{purpose}-{uuid.uuid4().hex}"
+
+
+def materialise(df: DataFrame, purpose: str) -> DataFrame:
+    """Write a frame below the shared folder and read it back.
+
+    Cuts the lineage, so that work used several times is done once, with files that
+    outlive the executors that wrote them.
+    """
+    path = fresh_dir(df.sparkSession, purpose)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def spread(df: DataFrame) -> DataFrame:
+    """Spread a plain scan over all cores if it has fewer splits than the cluster has cores.
+
+    For work that is heavy per row, over a few unsplittable files. A scan of many splits
+    is returned as it is. Not for frames with joins or aggregates.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df

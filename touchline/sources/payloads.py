@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from touchline.functions.text import match_info_text
 from touchline.schemas import (
@@ -26,7 +26,7 @@ def read_json_lines(spark: SparkSession, path: str, schema: str) -> DataFrame:
 
 def read_pages(spark: SparkSession, path: str) -> DataFrame:
     """HTML files, one row per file: ``(path, page_html)``."""
-    text = spark.read.option("wholetext", True).text(path)
+    text = spark.read.text(path, wholetext=True)
     return text.select(F.col("_metadata.file_path").alias("path"), F.col("value").alias("page_html"))
 
 
@@ -37,30 +37,34 @@ def parse_payload(df: DataFrame, column: str, schema: str) -> DataFrame:
     return parsed.select(*others, f"{column}.*")
 
 
-def explode_array(df: DataFrame, array: str, keep: tuple[str, ...] = ()) -> DataFrame:
-    """One row per array element, its fields as columns; a missing array gives no rows."""
-    return df.select(*keep, F.inline(array))
+def explode_positions(df: DataFrame, array: Column, keep: tuple[str, ...] = ()) -> DataFrame:
+    """One row per array element with its place as ``pos``; a missing array gives no rows.
+
+    An inner explode makes the optimizer filter on the array's size first, which parses
+    the payload a second time. The outer one does not; its empty rows are dropped after.
+    """
+    exploded = df.select(*keep, F.posexplode_outer(array).alias("pos", "_e"))
+    return exploded.where("pos IS NOT NULL").select(*keep, "pos", "_e.*")
 
 
-def explode_positions(df: DataFrame, array: str, keep: tuple[str, ...] = ()) -> DataFrame:
-    """As ``explode_array``, with the element's place in the array as ``pos``."""
-    return df.select(*keep, F.posexplode(array).alias("pos", "_e")).select(*keep, "pos", "_e.*")
+def explode_array(df: DataFrame, array: Column, keep: tuple[str, ...] = ()) -> DataFrame:
+    """One row per array element, its fields as columns; a missing array gives no rows."""
+    return explode_positions(df, array, keep).drop("pos")
 
 
 def players(df: DataFrame, column: str = "payload") -> DataFrame:
     """Master players: pos, id, first_name, second_name, code, element_type, team."""
-    return explode_positions(parse_payload(df.select(column), column, PLAYERS_PAYLOAD), "elements")
+    return explode_positions(df, F.from_json(column, PLAYERS_PAYLOAD)["elements"])
 
 
 def teams(df: DataFrame, column: str = "payload") -> DataFrame:
     """Master teams: id, name."""
-    return explode_array(parse_payload(df.select(column), column, TEAMS_PAYLOAD), "teams")
+    return explode_array(df, F.from_json(column, TEAMS_PAYLOAD)["teams"])
 
 
 def histories(df: DataFrame, key: str = "player_id", column: str = "payload") -> DataFrame:
     """One row per history record of each player."""
-    parsed = parse_payload(df.select(key, column), column, HISTORY_PAYLOAD)
-    return explode_array(parsed, "history", (key,))
+    return explode_array(df, F.from_json(column, HISTORY_PAYLOAD)["history"], (key,))
 
 
 def undecodable(df: DataFrame, column: str = "payload") -> DataFrame:
@@ -75,15 +79,10 @@ def with_match_info(df: DataFrame, html: str = "page_html", name: str = "info_te
 
 def explode_rosters(df: DataFrame, column: str, keep: tuple[str, ...] = ()) -> DataFrame:
     """One row per roster player, tagged with ``side``; a side that is no map gives none."""
-    envelope = F.from_json(F.col(column), ROSTER_ENVELOPE)
+    opened = df.select(*keep, F.from_json(F.col(column), ROSTER_ENVELOPE)["rosters"].alias("_r"))
     sides = F.array(
-        *[
-            F.struct(F.lit(s).alias("side"), envelope["rosters"][s].alias("text"))
-            for s in ("h", "a")
-        ]
-    )
-    flat = df.select(*keep, F.inline(sides))
-    parsed = F.when(F.col("text").startswith("{"), F.from_json("text", ROSTER_SIDE))
-    return flat.select(*keep, "side", F.explode(F.map_values(parsed)).alias("player")).select(
-        *keep, "side", "player.*"
+        *[F.struct(F.lit(s).alias("side"), F.col(f"_r.{s}").alias("text")) for s in ("h", "a")]
     )
+    flat = explode_array(opened, sides, keep)
+    roster = F.when(F.col("text").startswith("{"), F.from_json("text", ROSTER_SIDE))
+    return explode_array(flat, F.map_values(roster), (*keep, "side"))
