@@ -15,9 +15,9 @@ compared, never rows, and a name finds its partner along one of four ways:
    distance bounds how many: deleting a letter loses at most two pairs and inserting
    one loses at most one. A name therefore only needs to look up a prefix of its
    pairs, rarest first (prefix filtering; Chaudhuri, Ganti and Kaushik 2006, Bayardo,
-   Ma and Srikant 2007), and a candidate must share the required number of pairs
-   before it is scored. The floor of way 2 raises a name's cut, which shortens its
-   prefix.
+   Ma and Srikant 2007). Names met there are compared by a 64-bit letter signature
+   first; only those it leaves in reach of the cut become candidates and are scored.
+   The floor of way 2 raises a name's cut, which shortens its prefix.
 
 The bounds hold for both roles, so both run: left prefixes against all right pairs,
 and right prefixes against all left pairs.
@@ -117,39 +117,75 @@ def _rarest_first(grams: Column, counts: Column) -> Column:
     return F.transform(F.array_sort(ranked), lambda r: r["g"])
 
 
+def _signature(name: Column) -> Column:
+    """64 bits set by the letters of a name, repeats counted, spaces left out.
+
+    Every bit one name has and another lacks stands for a letter of the first that the
+    second does not have, whichever letters share a bit.
+    """
+    letters = F.filter(_grams(name, pairs=False), lambda g: ~g.startswith(" "))
+    bit = lambda g: F.call_function("shiftleft", F.lit(1).cast("long"), F.pmod(F.hash(g), F.lit(64)))
+    return F.aggregate(letters, F.lit(0).cast("long"), lambda acc, g: acc.bitwiseOR(bit(g)))
+
+
+def _can_reach(cut: Column) -> Column:
+    """Whether the signatures of ``l_`` and ``r_`` leave room for a score of ``cut``.
+
+    Letters one side lacks must be deleted or inserted, which bounds every score from
+    above. Names with repeated tokens or spaces compare in several forms and pass.
+    """
+    t = cut / F.lit(100.0)
+    part, token = t / F.lit(PARTIAL_WEIGHT), t / F.lit(TOKEN_WEIGHT)
+    l_size, r_size = F.col("l_size"), F.col("r_size")
+    l_only = F.bit_count(F.col("l_sig").bitwiseAND(F.bitwise_not("r_sig")))
+    r_only = F.bit_count(F.col("r_sig").bitwiseAND(F.bitwise_not("l_sig")))
+    short, long = F.least(l_size, r_size), F.greatest(l_size, r_size)
+    whole = l_only + r_only <= (1 - t) * (l_size + r_size) + _EPS
+    covered = 1 - token / (2 - token) + _EPS
+    near = (token <= 1) & ((l_only <= covered * l_size) | (r_only <= covered * r_size))
+    window = 1 - part / (2 - part) + _EPS
+    missing = F.when(l_size <= r_size, l_only).otherwise(r_only)
+    # of two names as long as each other either may be the needle; those are never far
+    far = (part <= 1) & (missing <= window * short)
+    room = whole | F.when(long < short * PARTIAL_FROM, near).otherwise(far)
+    in_reach = (cut <= 100.0 * LONG_PARTIAL_WEIGHT) | (long <= short * LONG_FROM)
+    return in_reach & (~F.col("l_plain") | ~F.col("r_plain") | room)
+
+
 def _candidates(lefts: DataFrame, rights: DataFrame, cut: float, pairs: bool) -> DataFrame:
     """Pairs ``(norm, other)`` that may score their cut."""
     counts = _gram_counts(rights, pairs)
-    grams = _rarest_first(_grams(F.col("norm"), pairs), F.col("counts")).alias("grams")
-    left = lefts.withColumn("counts", counts).select("norm", "cut", grams)
-    right = rights.withColumn("counts", counts).select("norm", F.lit(cut).alias("cut"), grams)
-
-    def looked_up(side: DataFrame, other: DataFrame) -> DataFrame:
-        needed = _shared_needed(_set_size(F.col("norm")), F.col("cut"), pairs)
-        needle = (
-            side.withColumn("needed", needed)
-            .withColumn("prefix", F.slice("grams", F.lit(1), F.greatest(F.lit(0), F.size("grams") - F.col("needed") + 1)))
-            .select(F.col("norm").alias("n_norm"), F.col("grams").alias("n_grams"), "needed", F.explode("prefix").alias("gram"))
-        )
-        hay = other.select(
-            F.col("norm").alias("h_norm"), F.col("grams").alias("h_grams"), F.explode("grams").alias("gram")
+    norm = F.col("norm")
+    plain = (F.array_join(F.array_distinct(F.split(norm, " ")), " ") == norm) & ~norm.contains("  ")
+
+    def indexed(side: DataFrame, tag: str) -> DataFrame:
+        return side.withColumn("counts", counts).select(
+            norm.alias(f"{tag}_norm"),
+            F.length(norm).alias(f"{tag}_size"),
+            _signature(norm).alias(f"{tag}_sig"),
+            plain.alias(f"{tag}_plain"),
+            _rarest_first(_grams(norm, pairs), F.col("counts")).alias("grams"),
+            F.col("cut").alias(f"{tag}_cut"),
         )
-        shared = F.array_intersect("n_grams", "h_grams")
-        short = F.least(F.length("n_norm"), F.length("h_norm"))
-        long = F.greatest(F.length("n_norm"), F.length("h_norm"))
-        pair = needle.join(hay, "gram").where(
-            # each pair once, at its rarest shared gram
-            (F.size(shared) >= F.col("needed")) & (shared[0] == F.col("gram"))
-        )
-        if cut > 100.0 * LONG_PARTIAL_WEIGHT:
-            pair = pair.where(long <= short * LONG_FROM)
-        return pair
-
-    forward = looked_up(left, right).select(F.col("n_norm").alias("norm"), F.col("h_norm").alias("other"))
-    backward = looked_up(right, left).select(F.col("h_norm").alias("norm"), F.col("n_norm").alias("other"))
-    # Both ways may find a pair. The shuffle also spreads the pairs evenly for scoring,
-    # whatever gram they met at.
-    return forward.union(backward).distinct()
+
+    left = indexed(lefts, "l")
+    right = indexed(rights.withColumn("cut", F.lit(cut)), "r")
+
+    def whole(side: DataFrame) -> DataFrame:
+        return side.withColumn("gram", F.explode("grams")).drop("grams")
+
+    def prefix(side: DataFrame, tag: str) -> DataFrame:
+        needed = _shared_needed(_set_size(F.col(f"{tag}_norm")), F.col(f"{tag}_cut"), pairs)
+        length = F.greatest(F.lit(0), F.size("grams") - needed + 1)
+        return side.withColumn("gram", F.explode(F.slice("grams", F.lit(1), length))).drop("grams")
+
+    def met(l_side: DataFrame, r_side: DataFrame) -> DataFrame:
+        found = l_side.join(r_side, "gram").where(_can_reach(F.col("l_cut")))
+        return found.select(F.col("l_norm").alias("norm"), F.col("r_norm").alias("other"))
+
+    # A pair is met once per shared gram, and both ways. The shuffle of the distinct also
+    # spreads the pairs evenly for scoring, whatever gram they met at.
+    return met(prefix(left, "l"), whole(right)).union(met(whole(left), prefix(right, "r"))).distinct()
 
 
 def _first_by_size(df: DataFrame, key: str) -> DataFrame:

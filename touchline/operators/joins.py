@@ -89,11 +89,18 @@ def left_by_name(left: DataFrame, right: DataFrame, on: str) -> DataFrame:
     return join_unique(left, right.distinct(), [on], "left")
 
 
-def left_null_safe(left: DataFrame, right: DataFrame, on: Sequence[str]) -> DataFrame:
+def left_null_safe(
+    left: DataFrame, right: DataFrame, on: Sequence[str], salts: int = SALTS
+) -> DataFrame:
     """Left join in which NULL keys match NULL keys."""
-    renamed = right.select(*[F.col(c).alias(f"_r_{c}") if c in on else F.col(c) for c in right.columns])
-    cond = reduce(lambda a, b: a & b, [F.col(c).eqNullSafe(F.col(f"_r_{c}")) for c in on])
-    return left.join(renamed, cond, "left").drop(*[f"_r_{c}" for c in on])
+    renamed = right.withColumnsRenamed({c: f"_r_{c}" for c in on})
+    same = [F.col(c).eqNullSafe(F.col(f"_r_{c}")) for c in on]
+    if salts > 1 and not fits_broadcast(right):
+        left = left.withColumn("_salt", _row_salt(left, salts))
+        renamed = renamed.withColumn("_r_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
+        same.append(F.col("_salt") == F.col("_r_salt"))
+    joined = left.join(renamed, reduce(lambda a, b: a & b, same), "left")
+    return joined.drop("_salt", "_r_salt", *[f"_r_{c}" for c in on])
 
 
 def semi(left: DataFrame, right: DataFrame, on: Sequence[str], salts: int = SALTS) -> DataFrame:

@@ -13,11 +13,14 @@ from touchline.operators.dedupe import collapse_copies, first_per_key
 def held_keys(batch: DataFrame, target: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Keys of the batch that the target already holds.
 
-    The target is cut down to the batch's keys first. A small batch is broadcast to
-    it, so a large table is scanned (key columns only) but not shuffled.
+    The target is cut to the batch's range of the first key, which reaches its scan as
+    a pushed filter and skips row groups, then to the keys themselves. A small batch is
+    broadcast to it, so a large table is neither read whole nor shuffled.
     """
-    wanted = batch.select(*keys).distinct()
-    return target.select(*keys).join(wanted, list(keys), "left_semi")
+    first = keys[0]
+    low, high = batch.agg(F.min(first)).scalar(), batch.agg(F.max(first)).scalar()
+    near = target.select(*keys).where((F.col(first) >= low) & (F.col(first) <= high))
+    return near.join(batch.select(*keys).distinct(), list(keys), "left_semi")
 
 
 def insert_absent(
