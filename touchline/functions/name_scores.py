@@ -186,8 +186,19 @@ def _sorted(s: str) -> str:
     return " ".join(sorted(s.split()))
 
 
-def combined(a: list[str], b: list[str]) -> np.ndarray:
-    """The combined score of each pair; an empty name scores 0."""
+def _window_floor(a: list[str], b: list[str], cut: np.ndarray) -> np.ndarray:
+    """Pairs whose partial ratio may reach ``cut``: a window shares no more letters in
+    order than the whole string does, and is no longer than the shorter one."""
+    m = np.minimum(_lengths(a), _lengths(b))
+    p = np.minimum(cut, 100.0) / 100.0
+    return (cut <= 100.0) & (lcs(a, b) >= m * p / (2.0 - p) - 1e-9)
+
+
+def combined(a: list[str], b: list[str], cut: float = 0.0) -> np.ndarray:
+    """The combined score of each pair; an empty name scores 0.
+
+    Exact from ``cut`` on. Parts that cannot lift a score to the cut are left out.
+    """
     out = indel(a, b)
     near, far = [], []
     for i, (x, y) in enumerate(zip(a, b)):
@@ -203,14 +214,11 @@ def combined(a: list[str], b: list[str]) -> np.ndarray:
         out[near] = np.maximum(out[near], by_token * TOKEN_WEIGHT)
     if far:
         x, y = [a[i] for i in far], [b[i] for i in far]
-        weight = np.array(
-            [
-                PARTIAL_WEIGHT
-                if max(len(p), len(q)) / min(len(p), len(q)) <= LONG_FROM
-                else LONG_PARTIAL_WEIGHT
-                for p, q in zip(x, y)
-            ]
-        )
+        size = np.maximum(_lengths(x), _lengths(y)) / np.minimum(_lengths(x), _lengths(y))
+        weight = np.where(size <= LONG_FROM, PARTIAL_WEIGHT, LONG_PARTIAL_WEIGHT)
+        whole = np.zeros(len(far))
+        rows = np.flatnonzero(_window_floor(x, y, cut / weight))
+        whole[rows] = partial([x[k] for k in rows], [y[k] for k in rows])
         by_token = np.zeros(len(far))
         rows, sx, sy, dx, dy = [], [], [], [], []
         for k, (p, q) in enumerate(zip(x, y)):
@@ -221,9 +229,12 @@ def combined(a: list[str], b: list[str]) -> np.ndarray:
                 rows.append(k)
                 sx.append(_sorted(p)), sy.append(_sorted(q))
                 dx.append(" ".join(sorted(tp))), dy.append(" ".join(sorted(tq)))
-        if rows:
-            by_token[rows] = np.maximum(partial(sx, sy), partial(dx, dy))
+        for left, right in ((sx, sy), (dx, dy)):
+            need = cut / (TOKEN_WEIGHT * weight[rows]) if rows else np.zeros(0)
+            use = np.flatnonzero(_window_floor(left, right, need)) if rows else []
+            for k, score in zip(use, partial([left[k] for k in use], [right[k] for k in use])):
+                by_token[rows[k]] = max(by_token[rows[k]], score)
         out[far] = np.maximum(
-            out[far], np.maximum(partial(x, y) * weight, by_token * TOKEN_WEIGHT * weight)
+            out[far], np.maximum(whole * weight, by_token * TOKEN_WEIGHT * weight)
         )
     return out

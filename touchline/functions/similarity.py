@@ -26,8 +26,9 @@ def _indel(a: pd.Series, b: pd.Series) -> pd.Series:
 
 
 @F.pandas_udf(T.DoubleType())
-def _combined(a: pd.Series, b: pd.Series) -> pd.Series:
-    return pd.Series(name_scores.combined(a.fillna("").tolist(), b.fillna("").tolist()))
+def _combined(a: pd.Series, b: pd.Series, cut: pd.Series) -> pd.Series:
+    floor = float(cut.iloc[0]) if len(cut) else 0.0
+    return pd.Series(name_scores.combined(a.fillna("").tolist(), b.fillna("").tolist(), floor))
 
 
 def lev(a: Column, b: Column) -> Column:
@@ -81,9 +82,9 @@ def token_set(a: Column, b: Column) -> Column:
 _combined_once = _combined.asNondeterministic()
 
 
-def combined(a: Column, b: Column) -> Column:
-    """The combined score of two normalised names."""
-    return _combined_once(a, b)
+def combined(a: Column, b: Column, cut: float = 0.0) -> Column:
+    """The combined score of two normalised names; below ``cut`` only some lower bound of it."""
+    return _combined_once(a, b, F.lit(float(cut)))
 
 
 def rounded(score: Column) -> Column:

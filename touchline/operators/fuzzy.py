@@ -14,10 +14,11 @@ compared, never rows, and a name finds its partner along one of four ways:
 4. *Everything else* that reaches the threshold must share letter pairs. Indel
    distance bounds how many: deleting a letter loses at most two pairs and inserting
    one loses at most one. A name therefore only needs to look up a prefix of its
-   pairs, rarest first (prefix filtering; Chaudhuri, Ganti and Kaushik 2006, Bayardo,
-   Ma and Srikant 2007). Names met there are compared by a 64-bit letter signature
-   first; only those it leaves in reach of the cut become candidates and are scored.
-   The floor of way 2 raises a name's cut, which shortens its prefix.
+   pairs, rarest first, two at a time (prefix filtering; Chaudhuri, Ganti and Kaushik
+   2006, Bayardo, Ma and Srikant 2007, Wang, Li and Feng 2012). Names met there are
+   compared by 64-bit signatures first; only those left in reach of the cut become
+   candidates and are scored. The floor of way 2 raises a name's cut, which shortens
+   its prefix.
 
 The bounds hold for both roles, so both run: left prefixes against all right pairs,
 and right prefixes against all left pairs.
@@ -39,7 +40,7 @@ from touchline.functions.name_scores import (
 )
 from touchline.functions.text import normalise_name
 from touchline.operators.joins import join_unique
-from touchline.session import materialise
+from touchline.session import materialise, spread
 
 # Scores with a closed form, written as the scorer computes them.
 TOKEN_FLOOR = 100.0 * TOKEN_WEIGHT * PARTIAL_WEIGHT
@@ -51,6 +52,7 @@ PAIR_THRESHOLD = 73
 
 _EPS = 1e-9
 _SLOTS = 4096
+_BLOCK = 10_000
 
 
 def _shared_needed(size: Column, cut: Column, pairs: bool) -> Column:
@@ -111,81 +113,137 @@ def _slot(gram: Column) -> Column:
 
 
 def _rarest_first(grams: Column, counts: Column) -> Column:
+    """Grams as ``(n, g)``, sorted."""
     ranked = F.transform(
         grams, lambda g: F.struct(F.coalesce(counts[_slot(g)], F.lit(0)).alias("n"), g.alias("g"))
     )
-    return F.transform(F.array_sort(ranked), lambda r: r["g"])
+    return F.array_sort(ranked)
 
 
-def _signature(name: Column) -> Column:
-    """64 bits set by the letters of a name, repeats counted, spaces left out.
+def _single_keys(ranked: Column) -> Column:
+    return F.transform(ranked, lambda g: F.struct(F.xxhash64(g["g"]).alias("key"), g["n"].alias("n")))
 
-    Every bit one name has and another lacks stands for a letter of the first that the
-    second does not have, whichever letters share a bit.
+
+def _double_keys(ranked: Column) -> Column:
+    """A key per two grams, with the count of the rarer one: no more names hold both."""
+
+    def with_later(g: Column, i: Column) -> Column:
+        later = F.slice(ranked, i + 2, F.size(ranked))
+        return F.transform(
+            later, lambda h: F.struct(F.xxhash64(g["g"], h["g"]).alias("key"), g["n"].alias("n"))
+        )
+
+    return F.flatten(F.transform(ranked, with_later))
+
+
+def _signature(grams: Column) -> Column:
+    """64 bits set by the grams of a name.
+
+    Every bit one name has and another lacks stands for a gram of the first that the
+    second does not have, whichever grams share a bit.
     """
-    letters = F.filter(_grams(name, pairs=False), lambda g: ~g.startswith(" "))
     bit = lambda g: F.call_function("shiftleft", F.lit(1).cast("long"), F.pmod(F.hash(g), F.lit(64)))
-    return F.aggregate(letters, F.lit(0).cast("long"), lambda acc, g: acc.bitwiseOR(bit(g)))
+    return F.aggregate(grams, F.lit(0).cast("long"), lambda acc, g: acc.bitwiseOR(bit(g)))
+
+
+def _lacking(one: str, other: str) -> Column:
+    return F.bit_count(F.col(one).bitwiseAND(F.bitwise_not(other)))
 
 
 def _can_reach(cut: Column) -> Column:
     """Whether the signatures of ``l_`` and ``r_`` leave room for a score of ``cut``.
 
-    Letters one side lacks must be deleted or inserted, which bounds every score from
-    above. Names with repeated tokens or spaces compare in several forms and pass.
+    Letters and letter pairs one side lacks bound every score from above: a missing
+    letter must be deleted or inserted, and one such step changes at most three pairs.
+    Names with repeated tokens or spaces compare in several forms and pass.
     """
     t = cut / F.lit(100.0)
     part, token = t / F.lit(PARTIAL_WEIGHT), t / F.lit(TOKEN_WEIGHT)
     l_size, r_size = F.col("l_size"), F.col("r_size")
-    l_only = F.bit_count(F.col("l_sig").bitwiseAND(F.bitwise_not("r_sig")))
-    r_only = F.bit_count(F.col("r_sig").bitwiseAND(F.bitwise_not("l_sig")))
     short, long = F.least(l_size, r_size), F.greatest(l_size, r_size)
-    whole = l_only + r_only <= (1 - t) * (l_size + r_size) + _EPS
-    covered = 1 - token / (2 - token) + _EPS
-    near = (token <= 1) & ((l_only <= covered * l_size) | (r_only <= covered * r_size))
-    window = 1 - part / (2 - part) + _EPS
-    missing = F.when(l_size <= r_size, l_only).otherwise(r_only)
-    # of two names as long as each other either may be the needle; those are never far
-    far = (part <= 1) & (missing <= window * short)
-    room = whole | F.when(long < short * PARTIAL_FROM, near).otherwise(far)
+    l_only, r_only = _lacking("l_sig", "r_sig"), _lacking("r_sig", "l_sig")
+    l_pairs, r_pairs = _lacking("l_pair_sig", "r_pair_sig"), _lacking("r_pair_sig", "l_pair_sig")
+    steps = (1 - t) * (l_size + r_size) + _EPS
+    whole = (l_only + r_only <= steps) & (l_pairs + r_pairs <= 3 * steps)
+    # shared tokens cover one name: its other letters, and as many pairs, may be missing
+    loose = 1 - token / (2 - token) + _EPS
+    near = (token <= 1) & ((l_pairs <= loose * l_size) | (r_pairs <= loose * r_size))
+    # a window of the longer name covers the shorter one, whose outer pairs may be lost
+    left_short = l_size <= r_size
+    letters = F.when(left_short, l_only).otherwise(r_only)
+    pairs = F.when(left_short, l_pairs).otherwise(r_pairs)
+    kept = (F.lit(2.0) / (2 - part)) * (1.5 * part - 1)
+    far = (
+        (part <= 1)
+        & (letters <= (1 - part / (2 - part)) * short + _EPS)
+        & (pairs <= (1 - kept) * short + 2 + _EPS)
+    )
+    room = F.when(long < short * PARTIAL_FROM, whole | near).otherwise(whole | far)
     in_reach = (cut <= 100.0 * LONG_PARTIAL_WEIGHT) | (long <= short * LONG_FROM)
     return in_reach & (~F.col("l_plain") | ~F.col("r_plain") | room)
 
 
 def _candidates(lefts: DataFrame, rights: DataFrame, cut: float, pairs: bool) -> DataFrame:
-    """Pairs ``(norm, other)`` that may score their cut."""
+    """Pairs ``(norm, other)`` that may score their cut; both sides are plain scans."""
     counts = _gram_counts(rights, pairs)
+    parts = _work_partitions(rights)
     norm = F.col("norm")
+    letters = F.filter(_grams(norm, pairs=False), lambda g: ~g.startswith(" "))
     plain = (F.array_join(F.array_distinct(F.split(norm, " ")), " ") == norm) & ~norm.contains("  ")
 
     def indexed(side: DataFrame, tag: str) -> DataFrame:
         return side.withColumn("counts", counts).select(
             norm.alias(f"{tag}_norm"),
             F.length(norm).alias(f"{tag}_size"),
-            _signature(norm).alias(f"{tag}_sig"),
+            _signature(letters).alias(f"{tag}_sig"),
+            _signature(_grams(norm, pairs=True)).alias(f"{tag}_pair_sig"),
             plain.alias(f"{tag}_plain"),
             _rarest_first(_grams(norm, pairs), F.col("counts")).alias("grams"),
             F.col("cut").alias(f"{tag}_cut"),
+            "counts",
         )
 
-    left = indexed(lefts, "l")
-    right = indexed(rights.withColumn("cut", F.lit(cut)), "r")
+    left = indexed(spread(lefts), "l")
+    right = indexed(spread(rights.select("norm", F.lit(cut).alias("cut"))), "r")
+
+    # A common key is split over as many groups as it may have blocks of names: each name
+    # looked up sits in one of them, each name looking visits all.
+    blocks = F.floor(F.col("k.n") / F.lit(_BLOCK)) + 1
+
+    def keyed(side: DataFrame, keys: Column, block: Column) -> DataFrame:
+        rows = side.withColumn("k", F.explode(keys)).withColumn("block", block)
+        rows = rows.withColumn("key", F.col("k.key")).drop("grams", "counts", "k")
+        return rows.repartition(parts, "key", "block")
 
-    def whole(side: DataFrame) -> DataFrame:
-        return side.withColumn("gram", F.explode("grams")).drop("grams")
+    def whole(side: DataFrame, tag: str) -> DataFrame:
+        grams = F.col("grams")
+        block = F.pmod(F.xxhash64(f"{tag}_norm"), blocks).cast("int")
+        return keyed(side, F.concat(_single_keys(grams), _double_keys(grams)), block)
 
     def prefix(side: DataFrame, tag: str) -> DataFrame:
         needed = _shared_needed(_set_size(F.col(f"{tag}_norm")), F.col(f"{tag}_cut"), pairs)
-        length = F.greatest(F.lit(0), F.size("grams") - needed + 1)
-        return side.withColumn("gram", F.explode(F.slice("grams", F.lit(1), length))).drop("grams")
+        head = lambda extra: F.slice(
+            "grams", F.lit(1), F.greatest(F.lit(0), F.size("grams") - needed + extra)
+        )
+        keys = F.when(needed >= 2, _double_keys(head(2))).otherwise(_single_keys(head(1)))
+        return keyed(side, keys, F.explode(F.sequence(F.lit(0), (blocks - 1).cast("int"))))
 
     def met(l_side: DataFrame, r_side: DataFrame) -> DataFrame:
-        found = l_side.join(r_side, "gram").where(_can_reach(F.col("l_cut")))
+        found = l_side.join(r_side, ["key", "block"]).where(_can_reach(F.col("l_cut")))
         return found.select(F.col("l_norm").alias("norm"), F.col("r_norm").alias("other"))
 
-    # A pair is met once per shared gram, and both ways. The shuffle of the distinct also
-    # spreads the pairs evenly for scoring, whatever gram they met at.
-    return met(prefix(left, "l"), whole(right)).union(met(whole(left), prefix(right, "r"))).distinct()
+    forward = met(prefix(left, "l"), whole(right, "r"))
+    backward = met(whole(left, "l"), prefix(right, "r"))
+    # A pair is met once per shared key, and both ways. The shuffle before the distinct
+    # also spreads the pairs evenly for scoring, wherever they met.
+    return forward.union(backward).repartition(parts, "norm", "other").distinct()
+
+
+def _work_partitions(df: DataFrame) -> int:
+    """Tasks for work that is heavy per row: by cores, since its bytes are few."""
+    spark = df.sparkSession
+    shuffle = int(spark.conf.get("spark.sql.shuffle.partitions", "200"))
+    return max(shuffle, 2 * spark.sparkContext.defaultParallelism)
 
 
 def _first_by_size(df: DataFrame, key: str) -> DataFrame:
@@ -264,7 +322,7 @@ def best_names(lefts: DataFrame, rights: DataFrame, threshold: float) -> DataFra
         open_ = open_.withColumn("cut", F.lit(cut))
     scored = (
         _candidates(open_, rights, cut, pairs)
-        .withColumn("score", similarity.combined(F.col("norm"), F.col("other")))
+        .withColumn("score", similarity.combined(F.col("norm"), F.col("other"), cut))
         .where(F.col("score") >= cut)
         .join(rights.select(F.col("norm").alias("other"), "place"), "other")
         .select("norm", "score", "place")

@@ -30,13 +30,6 @@ def read_pages(spark: SparkSession, path: str) -> DataFrame:
     return text.select(F.col("_metadata.file_path").alias("path"), F.col("value").alias("page_html"))
 
 
-def parse_payload(df: DataFrame, column: str, schema: str) -> DataFrame:
-    """Replace a JSON text column by its parsed fields; malformed text gives NULL fields."""
-    parsed = df.withColumn(column, F.from_json(F.col(column), schema))
-    others = [c for c in df.columns if c != column]
-    return parsed.select(*others, f"{column}.*")
-
-
 def explode_positions(df: DataFrame, array: Column, keep: tuple[str, ...] = ()) -> DataFrame:
     """One row per array element with its place as ``pos``; a missing array gives no rows.
 
