@@ -146,6 +146,12 @@ def test_dense_keys(spark):
             assert [i for _, i in got] == list(range(11, 11 + len(got)))
 
 
+def test_hashed_keys_depend_on_the_natural_key_alone(spark):
+    df = spark.createDataFrame([("a", 1), ("a", 2), ("a", 1)], "n string, g int")
+    got = [r.k for r in df.select(keys.hashed_key("n", "g").alias("k")).collect()]
+    assert got[0] == got[2] != got[1]
+
+
 def test_constraint_checks(spark, rows):
     df = spark.createDataFrame([("a", 1), ("a", 1), (None, 1), (None, 1), ("b", None)], "name string, team_id int")
     assert rows(quality.unique_violations(df, ["name", "team_id"])) == [("a", 1, 2)]

@@ -76,6 +76,12 @@ def test_pair_is_replay_safe(spark, wh, rows):
     assert rows(wh.read("raw.understat_player_games"), "name", "team", "run_id") == [("Al", "A", "run-1"), ("Bo", "A", "run-1")]
 
 
+def test_empty_pair_writes_nothing(spark, wh):
+    done = writers.write_pair(wh, games(spark, []), players(spark, []), "run-1")
+    assert set(done.values()) == {0} and len(done) == 4
+    assert wh.read("raw.understat_games").count() == 0
+
+
 def test_one_batch_equals_many(spark, tmp_path, rows):
     from touchline.sources.tables import Warehouse
 

@@ -8,10 +8,11 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 
 def strict(value: Column, ty: str) -> Column:
-    """Cast that fails on malformed text, and on NULL."""
-    cast = value.cast(ty)
-    message = F.concat(F.lit(f"NULL where {ty} is required"))
-    return F.when(value.isNull(), F.raise_error(message).cast(ty)).otherwise(cast)
+    """Cast that fails on malformed text and on NULL, whatever the session's ANSI mode."""
+    cast = value.try_cast(ty)
+    shown = F.coalesce(value.cast("string"), F.lit("NULL"))
+    message = F.concat(F.lit(f"not a valid {ty}: "), shown)
+    return F.when(cast.isNull(), F.raise_error(message).cast(ty)).otherwise(cast)
 
 
 def lenient(df: DataFrame, types: Mapping[str, str]) -> tuple[DataFrame, DataFrame]:

@@ -11,9 +11,11 @@ def _as_columns(order: Sequence[str | Column]) -> list[Column]:
     return [F.col(c) if isinstance(c, str) else c for c in order]
 
 
-def total_order(df: DataFrame, order: Sequence[str | Column]) -> list[Column]:
+def total_order(
+    df: DataFrame, keys: Sequence[str], order: Sequence[str | Column]
+) -> list[Column]:
     """The stated order, then every other column, so equal places are settled by value."""
-    named = {c for c in order if isinstance(c, str)}
+    named = {c for c in order if isinstance(c, str)} | set(keys)
     rest = [f.name for f in df.schema.fields if not isinstance(f.dataType, T.MapType)]
     return _as_columns(order) + [F.col(f"`{c}`") for c in rest if c not in named]
 
@@ -26,7 +28,7 @@ def first_per_key(df: DataFrame, keys: Sequence[str], order: Sequence[str | Colu
     """
     if not order:
         raise ValueError("rows have no order of their own; name the columns that decide 'first'")
-    w = Window.partitionBy(*keys).orderBy(*total_order(df, order))
+    w = Window.partitionBy(*keys).orderBy(*total_order(df, keys, order))
     return df.withColumn("_rn", F.row_number().over(w)).where("_rn = 1").drop("_rn")
 
 

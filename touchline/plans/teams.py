@@ -7,13 +7,12 @@ from datetime import date
 from pyspark.sql import DataFrame, functions as F
 
 from touchline.functions.text import season_label
-from touchline.operators.dedupe import first_per_key
 from touchline.operators.filters import split_matched
 from touchline.operators.fuzzy import fuzzy_join
 from touchline.operators.joins import left_by_name
 from touchline.operators.project import prune, rename
 from touchline.schemas import TEAM_THRESHOLD
-from touchline.sinks.writers import append_new_names, insert_if_absent, insert_strict, stage
+from touchline.sinks.writers import append_dense, insert_if_absent, insert_strict, stage
 from touchline.sources.tables import Warehouse
 
 
@@ -54,5 +53,5 @@ def add_teams(
     else:
         done = insert_if_absent(wh, "staging.fpl_team_mapping", matched, ["team_id", "name"])
         mapped = done["inserted"]
-    new = first_per_key(unmatched.select("name", "fpl_team_id"), ["name"], ["fpl_team_id"])
-    return {"mapped": mapped, "new_teams": append_new_names(wh, "analytics.teams", new)}
+    new = append_dense(wh, "analytics.teams", unmatched, ["fpl_team_id"])
+    return {"mapped": mapped, "new_teams": new}

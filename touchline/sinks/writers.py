@@ -60,11 +60,14 @@ def append(wh: Warehouse, table: str, df: DataFrame) -> int:
     return _write_counted(with_ids(rows, wh, table, None), wh.path(table), "append")
 
 
-def append_new_names(wh: Warehouse, table: str, df: DataFrame, key: str = "name") -> int:
-    """Append rows unique in ``key``, with dense ids."""
+def append_dense(wh: Warehouse, table: str, df: DataFrame, key: Sequence[str]) -> int:
+    """Append rows with dense ids. ``key`` tells the rows apart and need not be stored."""
     spec = TABLES[table]
-    rows = conform(df, spec.schema, spec.defaults)
-    return _write_counted(with_ids(rows, wh, table, [key]), wh.path(table), "append")
+    extra = [c for c in key if c not in spec.schema.names]
+    batch, total = stage(conform(df, spec.schema, spec.defaults, extra), "batch")
+    if total:
+        with_ids(batch, wh, table, key).write.mode("append").parquet(wh.path(table))
+    return total
 
 
 def insert_if_absent(
