@@ -53,6 +53,7 @@ PAIR_THRESHOLD = 73
 _EPS = 1e-9
 _SLOTS = 4096
 _BLOCK = 10_000
+_NAMES_PER_TASK = 500
 
 
 def _shared_needed(size: Column, cut: Column, pairs: bool) -> Column:
@@ -186,7 +187,7 @@ def _can_reach(cut: Column) -> Column:
 def _candidates(lefts: DataFrame, rights: DataFrame, cut: float, pairs: bool) -> DataFrame:
     """Pairs ``(norm, other)`` that may score their cut; both sides are plain scans."""
     counts = _gram_counts(rights, pairs)
-    parts = _work_partitions(rights)
+    parts = _work_partitions(lefts, rights)
     norm = F.col("norm")
     letters = F.filter(_grams(norm, pairs=False), lambda g: ~g.startswith(" "))
     plain = (F.array_join(F.array_distinct(F.split(norm, " ")), " ") == norm) & ~norm.contains("  ")
@@ -239,11 +240,14 @@ def _candidates(lefts: DataFrame, rights: DataFrame, cut: float, pairs: bool) ->
     return forward.union(backward).repartition(parts, "norm", "other").distinct()
 
 
-def _work_partitions(df: DataFrame) -> int:
-    """Tasks for work that is heavy per row: by cores, since its bytes are few."""
-    spark = df.sparkSession
-    shuffle = int(spark.conf.get("spark.sql.shuffle.partitions", "200"))
-    return max(shuffle, 2 * spark.sparkContext.defaultParallelism)
+def _work_partitions(lefts: DataFrame, rights: DataFrame) -> int:
+    """Tasks for work that is heavy per name, where sizing by bytes gives too few: by names,
+    up to what the cluster runs at once twice over."""
+    spark = lefts.sparkSession
+    cores = spark.sparkContext.defaultParallelism
+    most = max(int(spark.conf.get("spark.sql.shuffle.partitions", "200")), 2 * cores)
+    names = lefts.count() + rights.count()  # from the file footers
+    return min(most, max(cores, names // _NAMES_PER_TASK))
 
 
 def _first_by_size(df: DataFrame, key: str) -> DataFrame:
