@@ -38,7 +38,8 @@ def fits_broadcast(df: DataFrame) -> bool:
 
 def _row_salt(df: DataFrame, salts: int) -> Column:
     """Spread rows by content: the same row always lands on the same salt, so a
-    recomputed task gives the same rows again."""
+    recomputed task gives the same rows again. Exact copies stay together; both sides
+    of the salted join are plain shuffles, so AQE's skew join splits those."""
     return F.pmod(F.xxhash64(*[F.col(f"`{c}`") for c in df.columns]), F.lit(salts)).cast("int")
 
 
