@@ -74,3 +74,35 @@ def spread(df: DataFrame) -> DataFrame:
     """
     cores = df.sparkSession.sparkContext.defaultParallelism
     return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+
+
+class Scratch:
+    """A job's own folder below the shared folder, removed when the job ends.
+
+    Written tables cut the lineage: they outlive the executors that wrote them. What
+    the job returns goes to ``publish``, which stays for the cluster's own cleanup.
+    """
+
+    def __init__(self, spark: SparkSession, purpose: str):
+        self.spark = spark
+        self.purpose = purpose
+        self.root = fresh_dir(spark, purpose)
+
+    def __enter__(self) -> Scratch:
+        return self
+
+    def __exit__(self, *_) -> None:
+        path = self.spark._jvm.org.apache.hadoop.fs.Path(self.root)
+        path.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+
+    def path(self, name: str) -> str:
+        return f"{self.root}/{name}"
+
+    def write(self, df: DataFrame, name: str) -> DataFrame:
+        """Write a frame into the folder and read it back."""
+        df.write.parquet(self.path(name))
+        return self.spark.read.schema(df.schema).parquet(self.path(name))
+
+    def publish(self, df: DataFrame) -> DataFrame:
+        """Write a frame to a folder that outlives this one and read it back."""
+        return materialise(df, self.purpose)
