@@ -4,9 +4,10 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from touchline.llm import exact
+from touchline.llm import exact, mixing, packing, tokens
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -40,3 +41,22 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 )
 def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact.identify(_table(spark, sf_dir, "documents")).drop("row")
+
+
+@query("op1_mixing")
+def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
+    mixed = mixing.mix(_table(spark, sf_dir, "documents"))
+    return mixed.select("doc_id", "size", "source_size", "target", "taken", "rate", "copies")
+
+
+@query("op2_packing")
+def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = public_tokenizers.path("word_bpe_49k.json")
+    return packing.pack(_table(spark, sf_dir, "documents"), path, end=1).drop("slot")
+
+
+@query("op5_token_files")
+def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path, folder = public_tokenizers.path("byte_bpe_50k.json"), tokens.token_folder(spark)
+    manifest = tokens.write_token_files(_table(spark, sf_dir, "documents"), folder, path, end=0)
+    return tokens.read_token_files(manifest, folder)
