@@ -7,7 +7,8 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from touchline.llm import exact, mixing, packing, tokens
+from touchline.llm import exact, mixing, packing, quality, tokens, warc
+from touchline.session import fresh_dir
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -60,3 +61,33 @@ def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
     path, folder = public_tokenizers.path("byte_bpe_50k.json"), tokens.token_folder(spark)
     manifest = tokens.write_token_files(_table(spark, sf_dir, "documents"), folder, path, end=0)
     return tokens.read_token_files(manifest, folder)
+
+
+@query("op7_quality_rules")
+def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
+    judged = quality.judge(_table(spark, sf_dir, "documents"))
+    names = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed"]
+    return judged.select("doc_id", *names, "kept", "quality")
+
+
+@query(
+    "op8_warc",
+    """
+    WITH payload AS (
+        SELECT page_id, encode(coalesce(html, '')) AS body FROM pages
+    ), last AS (
+        SELECT *, max(page_id) OVER (PARTITION BY body) AS top FROM payload
+    )
+    SELECT page_id,
+           octet_length(body) AS payload_bytes,
+           sha1(body) AS payload_digest,
+           CASE WHEN octet_length(body) >= 1000 AND page_id < top
+                THEN 'revisit' ELSE 'response' END AS record_type,
+           CASE WHEN octet_length(body) >= 1000 AND page_id < top THEN top END AS refers_to
+    FROM last
+    """,
+)
+def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
+    folder = fresh_dir(spark, "archives")
+    names = warc.write_archives(_table(spark, sf_dir, "pages"), folder)
+    return warc.read_archives(names, folder)
