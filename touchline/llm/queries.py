@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from touchline.llm import exact, mixing, packing, quality, tokens, warc
+from touchline.llm import exact, jaccard, mixing, packing, quality, tokens, toxicity, warc
 from touchline.session import fresh_dir
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -91,3 +91,15 @@ def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
     folder = fresh_dir(spark, "archives")
     names = warc.write_archives(_table(spark, sf_dir, "pages"), folder)
     return warc.read_archives(names, folder)
+
+
+@query("op6_toxicity")
+def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
+    scored = toxicity.score(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
+    return scored.select("doc_id", "held_out", "score", "predicted")
+
+
+@query("op4_ngram_jaccard")
+def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
+    linked = jaccard.link(_table(spark, sf_dir, "documents"))
+    return linked.select("doc_id", "n_shingles", "component_id", "kept")
