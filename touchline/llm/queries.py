@@ -7,7 +7,18 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from touchline.llm import exact, jaccard, mixing, packing, quality, tokens, toxicity, warc
+from touchline.llm import (
+    exact,
+    jaccard,
+    mixing,
+    packing,
+    quality,
+    substring,
+    suffix_dedup,
+    tokens,
+    toxicity,
+    warc,
+)
 from touchline.session import fresh_dir
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -103,3 +114,15 @@ def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
     linked = jaccard.link(_table(spark, sf_dir, "documents"))
     return linked.select("doc_id", "n_shingles", "component_id", "kept")
+
+
+@query("op3_substring_dedup")
+def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
+    left = substring.remove_repeats(_table(spark, sf_dir, "documents"))
+    return left.select("doc_id", "n_words", "n_removed", "kept_sha256")
+
+
+@query("op9_suffix_dedup")
+def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
+    left = suffix_dedup.remove_repeats(_table(spark, sf_dir, "documents"))
+    return left.select("doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256")
