@@ -111,6 +111,8 @@ def repeated_anchors(rows: DataFrame, anchors: Anchors, buckets: int) -> DataFra
     and place; references must be among the probes.
     """
     sent = rows.select("row", "text").mapInArrow(_sender(anchors, buckets), SENT)
+    # A bucket is heavy work on few bytes: dealt to as many partitions, not merged by size.
+    sent = sent.repartition(buckets, "bucket")
     return sent.groupBy("bucket").applyInArrow(_matcher, "row long, pos long")
 
 

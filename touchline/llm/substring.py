@@ -156,7 +156,7 @@ def remove_repeats(
         hits = scratch.write(repeated_anchors(rows, partial(block_anchors, block), buckets), "hits")
         some = scratch.write(with_places(rows, hits, "hits").select("row", "id", "text", "hits"), "some")
         found = some.mapInArrow(_windows(block, window, buckets), FOUND)
-        later = scratch.write(found.groupBy("bucket").applyInArrow(_later, "row long, pos long"), "later")
+        later = scratch.write(found.repartition(buckets, "bucket").groupBy("bucket").applyInArrow(_later, "row long, pos long"), "later")
         changed = with_places(some.drop("hits"), later, "starts").select("row", "id", "text", "starts")
         schema = "row long, n_removed long, spans array<long>, cut_sha string, text binary"
         changed = scratch.write(changed.mapInArrow(_cutter(window, with_text), schema), "changed")

@@ -3,8 +3,9 @@
 A string of ``WINDOW`` bytes that is found twice holds, at the same place each time, the
 same least 32-byte gram (by hash, leftmost first). So documents are sampled by these
 anchors; anchors whose gram repeats are cut out with all the windows they are least in, and
-such fragments meet by gram. Equal fragments are first collapsed to the earliest. Where
-fragments with one gram differ, their suffix array, built by linear grouping, and common
+such fragments meet by gram. Equal fragments are collapsed to the earliest, those that
+differ are cut to what agrees with another one around the gram, and equal ones collapsed
+again. Where fragments with one gram still differ, their suffix array, built by linear grouping, and common
 prefixes show which windows they share; of each window's occurrences the earliest stays and
 the others are removed. Strings are judged on the input; matches never cross documents.
 
@@ -36,11 +37,11 @@ WINDOW, GRAM = 100, 32
 BLOCK = 64 << 10  # bytes of fragments per suffix array; one gram's fragments are not parted
 
 FOUND = (
-    "bucket int, h binary, doc binary, pos binary, size binary, text binary, rows binary, "
+    "bucket int, h binary, doc binary, pos binary, size binary, gram binary, text binary, rows binary, "
     "ids binary, known_row binary, known_span binary"
 )
 _FOUND = [f.split()[0] for f in FOUND.split(", ")]
-_KINDS = [pa.int32()] + [pa.binary()] * 9
+_KINDS = [pa.int32()] + [pa.binary()] * 10
 _PLACE = np.uint64((1 << 30) - 1)
 
 
@@ -95,8 +96,8 @@ def _fragments(window: int, buckets: int):
                 h, doc, place, first, last = minimizers(window, data, at)
                 whose = np.repeat(np.arange(len(row)), np.diff(edge))
                 hit = np.isin((doc << 32) | place, (whose << 32) | hits[edge[0] : edge[-1]])
-                h, doc, first = h[hit], doc[hit], first[hit]
-                size = last[hit] + window - first
+                h, doc, first, last, place = (x[hit] for x in (h, doc, first, last, place))
+                size = last + window - first
                 begin = at[doc] + first
                 same = span_hashes(data, begin, begin + size) if len(h) else h
                 lead = earliest((h, same), ids[doc], row[doc], first)
@@ -116,6 +117,7 @@ def _fragments(window: int, buckets: int):
                             local.astype("<u4").tobytes(),
                             first[some].astype("<u4").tobytes(),
                             size[some].astype("<u2").tobytes(),
+                            (place - first)[some].astype("<u2").tobytes(),
                             b"".join(raw[i:j] for i, j in spans),
                             row[used].astype("<i8").tobytes(),
                             ids[used].astype("<i8").tobytes(),
@@ -172,7 +174,7 @@ def _blocks(h: np.ndarray, size: np.ndarray) -> Iterator[np.ndarray]:
 
 def _later(window: int, table: pa.Table) -> pa.Table:
     """(row, pos): what a bucket's fragments show to have an earlier occurrence."""
-    columns: dict[str, list] = {k: [] for k in ("h", "row", "ids", "pos", "size")}
+    columns: dict[str, list] = {k: [] for k in ("h", "row", "ids", "pos", "size", "gram")}
     texts, rows, spans = [], [], []
     for p in table.to_pylist():
         doc = np.frombuffer(p["doc"], "<u4")
@@ -180,18 +182,32 @@ def _later(window: int, table: pa.Table) -> pa.Table:
         columns["row"].append(np.frombuffer(p["rows"], "<i8")[doc])
         columns["ids"].append(np.frombuffer(p["ids"], "<i8")[doc])
         columns["pos"].append(np.frombuffer(p["pos"], "<u4").astype(np.int64))
-        columns["size"].append(np.frombuffer(p["size"], "<u2").astype(np.int64))
+        for k in ("size", "gram"):
+            columns[k].append(np.frombuffer(p[k], "<u2").astype(np.int64))
         texts.append(p["text"])
         rows.append(np.frombuffer(p["known_row"], "<i8"))
         spans.append(np.frombuffer(p["known_span"], "<i8"))
-    h, row, ids, pos, size = (np.concatenate(columns[k]) for k in ("h", "row", "ids", "pos", "size"))
+    h, row, ids, pos, size, gram = (np.concatenate(columns[k]) for k in columns)
     text = np.frombuffer(b"".join(texts), np.uint8)
     begin = np.cumsum(size) - size
-    same = span_hashes_in(text, begin, size) if len(h) else h
-    lead = earliest((h, same), ids, row, pos)
-    rows.append(row[~lead])
-    spans.append(_span(pos[~lead], size[~lead]))
-    kept = np.flatnonzero(lead)
+
+    def collapse(kept: np.ndarray) -> np.ndarray:
+        """Those of the fragments that are the earliest of their content; others are found."""
+        same = span_hashes_in(text, begin[kept], size[kept])
+        lead = earliest((h[kept], same), ids[kept], row[kept], pos[kept])
+        rows.append(row[kept[~lead]])
+        spans.append(_span(pos[kept[~lead]], size[kept[~lead]]))
+        return kept[lead]
+
+    kept = collapse(np.arange(len(h))) if len(h) else np.zeros(0, np.int64)
+    if len(kept):
+        # A fragment is cut to what agrees with another one of its gram, to either side.
+        left = _agreement(h[kept], text, begin[kept] + gram[kept] - 1, gram[kept], -1)
+        right = _agreement(h[kept], text, begin[kept] + gram[kept], size[kept] - gram[kept], 1)
+        cut = gram[kept] - left
+        begin[kept], pos[kept], size[kept] = begin[kept] + cut, pos[kept] + cut, left + right
+        kept = kept[size[kept] >= window]
+        kept = collapse(kept) if len(kept) else kept
     for block in _blocks(h[kept], size[kept]):
         some = kept[block]
         kind, owner, offset = shared_windows(text, begin[some], size[some], window)
@@ -210,16 +226,36 @@ def _judge(window: int):
 
 
 def span_hashes_in(text: np.ndarray, begin: np.ndarray, size: np.ndarray, most: int = 1 << 20) -> np.ndarray:
-    """``span_hashes`` of consecutive spans, a bounded part of the text at a time."""
-    out, i, edge = [], 0, np.append(begin, len(text))
+    """``span_hashes`` of spans in order of their beginnings, a bounded part at a time."""
+    out, i = [], 0
     while i < len(begin):
-        j = max(i + 1, int(np.searchsorted(edge, edge[i] + most, "right")) - 1)
-        base = edge[i]
-        out.append(span_hashes(text[base : edge[j]], begin[i:j] - base, begin[i:j] - base + size[i:j]))
+        j = max(i + 1, int(np.searchsorted(begin, begin[i] + most, "right")))
+        base, end = begin[i], (begin[i:j] + size[i:j]).max()
+        out.append(span_hashes(text[base:end], begin[i:j] - base, begin[i:j] - base + size[i:j]))
         i = j
     return np.concatenate(out)
 
 
+def _agreement(h: np.ndarray, text: np.ndarray, origin: np.ndarray, length: np.ndarray, step: int) -> np.ndarray:
+    """How many bytes from its origin on each fragment has in common with another of its gram.
+
+    Sorted neighbours agree most. Bytes of zero can make this too large, never too small.
+    """
+    width = max(8, -(-int(length.max()) // 8) * 8)
+    reach = np.arange(width)
+    there = reach < length[:, None]
+    symbols = np.where(there, text[np.where(there, origin[:, None] + step * reach, 0)], np.uint8(0))
+    words = np.ascontiguousarray(symbols).view(">u8").astype(np.uint64)
+    order = np.lexsort((*words.T[::-1], h))
+    differ = symbols[order[1:]] != symbols[order[:-1]]
+    shared = np.where(differ.any(1), differ.argmax(1), width)
+    shared[h[order[1:]] != h[order[:-1]]] = 0
+    best = np.zeros(len(h), np.int64)
+    best[order[1:]] = shared
+    best[order[:-1]] = np.maximum(best[order[:-1]], shared)
+    return np.minimum(best, length)
+
+
 def _cutter(with_text: bool):
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -254,7 +290,7 @@ def remove_repeats(
         hits = scratch.write(repeated_anchors(rows, partial(byte_anchors, window), buckets), "hits")
         some = scratch.write(with_places(rows, hits, "hits").select("row", "id", "text", "hits"), "some")
         found = some.mapInArrow(_fragments(window, buckets), FOUND)
-        later = found.groupBy("bucket").applyInArrow(_judge(window), "row long, pos long")
+        later = found.repartition(buckets, "bucket").groupBy("bucket").applyInArrow(_judge(window), "row long, pos long")
         later = scratch.write(later, "later")
         changed = with_places(some.drop("hits"), later, "packed").select("row", "id", "text", "packed")
         schema = "row long, n_removed long, spans array<long>, cut_sha string, text binary"
