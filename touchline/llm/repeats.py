@@ -95,9 +95,12 @@ def _matcher(table: pa.Table) -> pa.Table:
     parts = table.to_pylist()
     value = np.sort(np.concatenate([_unplanes(p["probes"]) for p in parts]))
     twice = np.unique(value[1:][value[1:] == value[:-1]])
+    ref = [_unplanes(p["refs"]) for p in parts]
+    sent = np.concatenate(ref)
+    at = np.minimum(np.searchsorted(twice, sent), max(0, len(twice) - 1))
+    hits = np.split(twice[at] == sent if len(twice) else np.zeros(len(sent), bool), np.cumsum([len(r) for r in ref])[:-1])
     rows, places = [], []
-    for p in parts:
-        hit = np.isin(_unplanes(p["refs"]), twice)
+    for p, hit in zip(parts, hits):
         for keep, doc, pos in ((hit, "doc", "pos"), (slice(None), "known_doc", "known_pos")):
             rows.append(np.frombuffer(p[doc], "<u4")[keep].astype(np.int64) + p["base"])
             places.append(np.frombuffer(p[pos], "<u4")[keep].astype(np.int64))
