@@ -7,9 +7,9 @@
 3. Two sets that are similar enough share, in that order, at least l tokens of their
    l-prefixes. Each document takes the l that makes its estimated candidates fewest; a
    pair must share as many prefix tokens as the smaller l of the two.
-4. A pair is verified on its whole texts. In a first round each document meets the first
-   holder of each of its prefix tokens; what that links is joined into components. In the
-   second, only documents of different components still meet, so a group of thousands of
+4. A pair is verified on its whole texts. In a first round each document meets those that
+   are the first holder of enough of its prefix tokens; what that links is joined into
+   components. In the second, only documents of different components still meet, so a group of thousands of
    near copies costs a line of pairs each and not a square.
 5. Components give every document the smallest id it is linked with.
 
@@ -35,7 +35,7 @@ from touchline.session import Scratch
 
 SHINGLE = 5
 PERCENT = 80
-LONGEST = 3  # the largest l tried
+PASSAGES = 1.0  # candidates by passages too rare for the sketch, assumed of each document
 CELLS, SLICES, FAN = 1 << 20, 16, 64
 
 _SALT = np.random.default_rng(77).integers(0, 2**64, SHINGLE, dtype=np.uint64)
@@ -113,8 +113,10 @@ def prefix(h: np.ndarray, above: np.ndarray) -> tuple[int, np.ndarray]:
     order = np.lexsort((h, np.where(extra > 0, np.log2(extra + 1).astype(np.int64) + 1, 0)))
     base = n - -(-PERCENT * n // 100)
     cost = np.cumsum(extra[order])
-    ways = range(1, min(LONGEST, n - base) + 1)
-    best = min(ways, key=lambda w: (cost[base + w - 1] / w, w))
+    # Candidates share at least l tokens, so there are at most the holders of all tokens
+    # by l; each costs two sets to verify, and each token of the prefix a row.
+    ways = sorted({1, 2, 3, 1 + n // 20} & set(range(1, n - base + 1)))
+    best = min(ways, key=lambda w: (base + w + 2 * n * (PASSAGES + cost[base + w - 1]) / w, w))
     return best, h[order[: base + best]]
 
 
@@ -193,21 +195,26 @@ def link(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFra
         rank = F.struct(F.col("doc_id").isNull(), "doc_id", "row")
         classes = signed.where("n > 0").groupBy("n", "s1", "s2").agg(F.min(rank).alias("top"))
         classes = scratch.write(classes.select("n", "s1", "s2", F.col("top.row").alias("rep"), "top"), "classes")
-        some = signed.join(classes.select(F.col("rep").alias("row")), "row", "left_semi")
-        held = some.where("n > 1").select("row", "n", "ways", F.explode("tokens").alias("h"))
+        copies = signed.select("row", "n", "s1", "s2").join(classes, ["n", "s1", "s2"]).where("row <> rep")
+        copies = scratch.write(copies.select("row"), "copies")
+        some = signed.where("n > 1").select("row", "n", "ways", "tokens").join(copies, "row", "left_anti")
+        held = some.select("row", F.explode("tokens").alias("h"))
         first = held.groupBy("h").agg(F.count(F.lit(1)).alias("df"), F.min("row").alias("lead"))
         first = scratch.write(first.where("df > 1").select("h", "lead"), "tokens")
         shared = scratch.write(held.join(first, "h"), "shared")
-        meet = shared.where("row <> lead").select(F.col("row").alias("a"), F.col("lead").alias("b")).distinct()
-        sizes = scratch.write(shared.select("row", "n").distinct(), "sizes")
-        size = lambda k: sizes.select(F.col("row").alias(k), F.col("n").alias(f"n_{k}"))
-        near = (F.least("n_a", "n_b") * 100 >= PERCENT * F.greatest("n_a", "n_b"))
+        sizes = some.drop("tokens").join(shared.select("row").distinct(), "row", "left_semi")
+        sizes = scratch.write(sizes, "sizes")
+        size = lambda k: sizes.toDF(k, f"n_{k}", f"ways_{k}")
+        meet = shared.where("row <> lead").groupBy(F.col("row").alias("a"), F.col("lead").alias("b"))
+        meet = meet.agg(F.count(F.lit(1)).alias("k"))
+        near = F.least("n_a", "n_b") * 100 >= PERCENT * F.greatest("n_a", "n_b")
+        near &= F.col("k") >= F.least("ways_a", "ways_b")
         meet = meet.join(size("a"), "a").join(size("b"), "b").where(near).select("a", "b")
         texts = scratch.write(rows.select("row", "text").join(sizes.select("row"), "row", "left_semi"), "texts")
         edges = scratch.write(_verified(meet, texts), "edges-1")
         found = components(scratch, edges, "first")
         at = shared.drop("lead").join(found.toDF("row", "c"), "row", "left").withColumn("c", F.coalesce("c", "row"))
-        at = scratch.write(at, "placed")
+        at = scratch.write(at.join(sizes, "row"), "placed")
         mixed = at.groupBy("h").agg(F.min("c").alias("l"), F.max("c").alias("m")).where("l <> m").select("h")
         mixed = scratch.write(mixed, "mixed")
         still = scratch.write(at.join(mixed, "h", "left_semi"), "open")
