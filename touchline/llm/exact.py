@@ -127,7 +127,9 @@ def keep_rows(docs: DataFrame, rows: DataFrame) -> DataFrame:
     while mark in docs.columns:
         mark += "_"
     numbered = docs.withColumn(mark, F.monotonically_increasing_id())
-    return numbered.join(rows.select(F.col("row").alias(mark)), mark, "left_semi").select(*docs.columns)
+    # The list of rows grows with the data, so it is never broadcast.
+    kept = rows.select(F.col("row").alias(mark)).hint("merge")
+    return numbered.join(kept, mark, "left_semi").select(*docs.columns)
 
 
 def drop_copies(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
