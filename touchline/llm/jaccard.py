@@ -178,7 +178,8 @@ def _verifier(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def _verified(pairs: DataFrame, texts: DataFrame) -> DataFrame:
     """Those of the pairs (a, b) whose sets are similar enough."""
-    of = lambda k: texts.select(F.col("row").alias(k), F.col("text").alias(f"text_{k}"))
+    # Neither pairs nor texts are bounded, so nothing is broadcast here.
+    of = lambda k: texts.select(F.col("row").alias(k), F.col("text").alias(f"text_{k}")).hint("merge")
     both = pairs.join(of("a"), "a").join(of("b"), "b").select("a", "b", "text_a", "text_b")
     return both.mapInArrow(_verifier, "a long, b long")
 
@@ -197,24 +198,24 @@ def link(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFra
         classes = scratch.write(classes.select("n", "s1", "s2", F.col("top.row").alias("rep"), "top"), "classes")
         copies = signed.select("row", "n", "s1", "s2").join(classes, ["n", "s1", "s2"]).where("row <> rep")
         copies = scratch.write(copies.select("row"), "copies")
-        some = signed.where("n > 1").select("row", "n", "ways", "tokens").join(copies, "row", "left_anti")
-        held = some.select("row", F.explode("tokens").alias("h"))
+        some = signed.where("n > 1").select("row", "n", "ways", "tokens").join(copies.hint("merge"), "row", "left_anti")
+        held = some.select("row", "ways", F.explode("tokens").alias("h"))
         first = held.groupBy("h").agg(F.count(F.lit(1)).alias("df"), F.min("row").alias("lead"))
         first = scratch.write(first.where("df > 1").select("h", "lead"), "tokens")
         shared = scratch.write(held.join(first, "h"), "shared")
+        # A document has at most as many such holders as its prefix has times l tokens.
         sizes = some.drop("tokens").join(shared.select("row").distinct(), "row", "left_semi")
         sizes = scratch.write(sizes, "sizes")
         size = lambda k: sizes.toDF(k, f"n_{k}", f"ways_{k}")
-        meet = shared.where("row <> lead").groupBy(F.col("row").alias("a"), F.col("lead").alias("b"))
-        meet = meet.agg(F.count(F.lit(1)).alias("k"))
+        meet = shared.where("row <> lead").groupBy(F.col("row").alias("a"), "ways", F.col("lead").alias("b"))
+        meet = meet.agg(F.count(F.lit(1)).alias("k")).where("k >= ways").select("a", "b")
         near = F.least("n_a", "n_b") * 100 >= PERCENT * F.greatest("n_a", "n_b")
-        near &= F.col("k") >= F.least("ways_a", "ways_b")
         meet = meet.join(size("a"), "a").join(size("b"), "b").where(near).select("a", "b")
-        texts = scratch.write(rows.select("row", "text").join(sizes.select("row"), "row", "left_semi"), "texts")
+        texts = scratch.write(rows.select("row", "text").join(sizes.select("row").hint("merge"), "row", "left_semi"), "texts")
         edges = scratch.write(_verified(meet, texts), "edges-1")
         found = components(scratch, edges, "first")
-        at = shared.drop("lead").join(found.toDF("row", "c"), "row", "left").withColumn("c", F.coalesce("c", "row"))
-        at = scratch.write(at.join(sizes, "row"), "placed")
+        at = shared.select("row", "ways", "h").join(found.toDF("row", "c"), "row", "left").withColumn("c", F.coalesce("c", "row"))
+        at = scratch.write(at.join(sizes.select("row", "n"), "row"), "placed")
         mixed = at.groupBy("h").agg(F.min("c").alias("l"), F.max("c").alias("m")).where("l <> m").select("h")
         mixed = scratch.write(mixed, "mixed")
         still = scratch.write(at.join(mixed, "h", "left_semi"), "open")
