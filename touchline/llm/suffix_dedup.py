@@ -237,10 +237,20 @@ def span_hashes_in(text: np.ndarray, begin: np.ndarray, size: np.ndarray, most:
 
 
 def _agreement(h: np.ndarray, text: np.ndarray, origin: np.ndarray, length: np.ndarray, step: int) -> np.ndarray:
-    """How many bytes from its origin on each fragment has in common with another of its gram.
+    """How many bytes from its origin on each fragment has in common with another of its gram."""
+    order = np.argsort(h, kind="stable")
+    edge = np.append(np.flatnonzero(np.append(True, h[order][1:] != h[order][:-1])), len(h))
+    found, i = np.zeros(len(h), np.int64), 0
+    while i < len(h):  # whole grams, a bounded number of fragments at a time
+        j = int(edge[np.searchsorted(edge, min(i + 4096, len(h)))])
+        some = order[i:j]
+        found[some] = _agree(h[some], text, origin[some], length[some], step)
+        i = j
+    return found
+
 
-    Sorted neighbours agree most. Bytes of zero can make this too large, never too small.
-    """
+def _agree(h: np.ndarray, text: np.ndarray, origin: np.ndarray, length: np.ndarray, step: int) -> np.ndarray:
+    """Sorted neighbours agree most. Bytes of zero can make this too large, never too small."""
     width = max(8, -(-int(length.max()) // 8) * 8)
     reach = np.arange(width)
     there = reach < length[:, None]
