@@ -21,7 +21,6 @@ table gives no rows and no shards.
 from __future__ import annotations
 
 import os
-import re
 import uuid
 import zlib
 from collections.abc import Iterator
@@ -36,8 +35,13 @@ from pyspark.sql import DataFrame, SparkSession, functions as F, Window
 from touchline.llm.text import bytes_of, runs, whole_text
 from touchline.session import fresh_dir
 
-REMEMBERED = 300_000
-_ODD = re.compile(r"\s\s|^\s|\s$")
+REMEMBERED = 1_000_000
+
+
+def _odd(text: str) -> bool:
+    """Whether white space stands at an end or next to other white space."""
+    words = text.split()
+    return len("".join(words)) + len(words) - 1 != len(text)
 
 
 @lru_cache(maxsize=2)
@@ -90,7 +94,7 @@ class Encoder:
     def many(self, texts: list[str]) -> list[bytes]:
         parts, whole = [], []
         for text in texts:
-            if _ODD.search(text) or not text:
+            if not text or _odd(text):
                 whole.append(text)
                 parts.append(None)
             else:
