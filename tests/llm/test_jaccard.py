@@ -77,10 +77,31 @@ def test_every_link_shares_enough_prefix_tokens():
         k = len(np.intersect1d(a, b))
         if 100 * k < 80 * (len(set(a)) + len(set(b)) - k):
             continue
-        (la, pa_), (lb, pb) = jaccard.prefix(np.unique(a), above), jaccard.prefix(np.unique(b), above)
+        (la, _, pa_), (lb, _, pb) = jaccard.prefix(np.unique(a), above), jaccard.prefix(np.unique(b), above)
         assert len(np.intersect1d(pa_, pb)) >= min(la, lb)
 
 
+def test_group_around_a_middle(docs, monkeypatch):
+    """Near copies of one text, many too far from it, their tokens known as frequent."""
+    rng = random.Random(5)
+    base = [f"b{i}" for i in range(120)]
+    rows = [(500, " ".join(base))]
+    for i in range(120):
+        words = list(base)
+        for _ in range(rng.choice([1, 2, 3, 4, 5])):
+            words[rng.randrange(len(words))] = f"u{rng.randrange(400)}"
+        rows.append((i, " ".join(words)))
+    cells = np.bincount(np.concatenate([jaccard.shingle_sets(*_bytes(t))[1] >> np.uint64(44) for _, t in rows]).astype(int), minlength=jaccard.CELLS)
+    monkeypatch.setattr(jaccard, "frequencies", lambda _: np.where(cells > 8, cells, 0).astype(float))
+    got = sorted((r.doc_id, r.n_shingles, r.component_id) for r in jaccard.link(docs(rows)).collect())
+    assert got == brute(rows) and len({c for _, _, c in got}) > 2
+
+
+def _bytes(text):
+    data = np.frombuffer(text.encode(), np.uint8)
+    return data, np.array([0, len(data)])
+
+
 def test_repeated_null_ids_and_empty(docs):
     text = "one two three four five six"
     got = jaccard.link(docs([(None, text), (5, text), (5, text), (7, "other words")])).collect()

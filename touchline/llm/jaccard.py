@@ -7,10 +7,13 @@
 3. Two sets that are similar enough share, in that order, at least l tokens of their
    l-prefixes. Each document takes the l that makes its estimated candidates fewest; a
    pair must share as many prefix tokens as the smaller l of the two.
-4. A pair is verified on its whole texts. In a first round each document meets those that
-   are the first holder of enough of its prefix tokens; what that links is joined into
-   components. In the second, only documents of different components still meet, so a group of thousands of
-   near copies costs a line of pairs each and not a square.
+4. A pair is verified on its whole texts. In a first round each document meets, for each of
+   its prefix tokens, the holder with the fewest rare tokens: of a group of near copies the
+   one nearest to what they have in common. What that links is joined into components. In
+   the second, only documents of different components still meet. In both, a pair is left
+   out if the tokens that only one of the two can hold are too many for the threshold, so
+   those of a group that are too far from its middle do not meet all others. In the second
+   round a pair must also share as many prefix tokens as its two sizes ask for.
 5. Components give every document the smallest id it is linked with.
 
 Step 4 loses no link between components: a pair that meets in neither round is in one
@@ -26,7 +29,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from touchline.llm.components import components
 from touchline.llm.exact import keep_rows
@@ -106,8 +109,8 @@ def frequencies(texts: DataFrame) -> np.ndarray:
     return np.where(above > 6 * np.sqrt(usual) + 8, above, 0.0)
 
 
-def prefix(h: np.ndarray, above: np.ndarray) -> tuple[int, np.ndarray]:
-    """(l, the tokens of the l-prefix) of one set."""
+def prefix(h: np.ndarray, above: np.ndarray) -> tuple[int, int, np.ndarray]:
+    """(l, how many tokens of the l-prefix are not frequent, these and then the frequent ones) of one set."""
     n = len(h)
     extra = above[(h >> np.uint64(44)).astype(np.int64)]
     order = np.lexsort((h, np.where(extra > 0, np.log2(extra + 1).astype(np.int64) + 1, 0)))
@@ -117,7 +120,8 @@ def prefix(h: np.ndarray, above: np.ndarray) -> tuple[int, np.ndarray]:
     # by l; each costs two sets to verify, and each token of the prefix a row.
     ways = sorted({1, 2, 3, 1 + n // 20} & set(range(1, n - base + 1)))
     best = min(ways, key=lambda w: (base + w + 2 * n * (PASSAGES + cost[base + w - 1]) / w, w))
-    return best, h[order[: base + best]]
+    tokens = order[: base + best]
+    return best, int((extra[tokens] <= 0).sum()), h[tokens]
 
 
 def _signer(above: np.ndarray):
@@ -132,10 +136,11 @@ def _signer(above: np.ndarray):
                 np.cumsum(mix(h), out=total[0, 1:])
                 np.cumsum(mix(h ^ _SALT[0]), out=total[1, 1:])
                 s = total[:, edge[1:]] - total[:, edge[:-1]]
-                ways, tokens = [], []
+                ways, rare, tokens = [], [], []
                 for i, j in zip(edge[:-1].tolist(), edge[1:].tolist()):
-                    way, some = prefix(h[i:j], above) if j > i else (1, h[:0])
+                    way, few, some = prefix(h[i:j], above) if j > i else (1, 0, h[:0])
                     ways.append(way)
+                    rare.append(few)
                     tokens.append(some.view(np.int64))
                 lengths = np.concatenate(([0], np.cumsum([len(t) for t in tokens]))).astype(np.int32)
                 flat = pa.array(np.concatenate(tokens) if tokens else np.zeros(0, np.int64))
@@ -147,9 +152,10 @@ def _signer(above: np.ndarray):
                         pa.array(s[0].view(np.int64)),
                         pa.array(s[1].view(np.int64)),
                         pa.array(ways, pa.int32()),
+                        pa.array(rare, pa.int32()),
                         pa.ListArray.from_arrays(pa.array(lengths), flat),
                     ],
-                    ["row", "doc_id", "n", "s1", "s2", "ways", "tokens"],
+                    ["row", "doc_id", "n", "s1", "s2", "ways", "rare", "tokens"],
                 )
 
     return sign
@@ -183,6 +189,16 @@ def _verified(pairs: DataFrame, texts: DataFrame) -> DataFrame:
     return both.mapInArrow(_verifier, "a long, b long")
 
 
+def _reachable(n: str, own: str, other_n: str, other_deep: str) -> Column:
+    """Whether a set can still be similar enough to another one.
+
+    Its ``own`` rare tokens are in no other prefix, so another set whose prefix reaches past
+    its rare tokens cannot hold them: at most ``n - own`` tokens are shared.
+    """
+    most = F.col(n) - F.when(F.col(other_deep), F.col(own)).otherwise(0)
+    return most * 100 >= (F.col(n) + F.col(other_n) - most) * PERCENT
+
+
 def link(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """One row per row of ``docs``: row, doc_id, n_shingles, component_id, kept."""
     spark = docs.sparkSession
@@ -190,30 +206,36 @@ def link(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFra
         rows = with_row(docs, doc_id=F.col(doc_id).cast("long"), text=whole_text(text).cast("binary"))
         rows = rows.select("row", "doc_id", "text")
         above = frequencies(rows)
-        schema = "row long, doc_id long, n long, s1 long, s2 long, ways int, tokens array<long>"
+        schema = "row long, doc_id long, n long, s1 long, s2 long, ways int, rare int, tokens array<long>"
         signed = scratch.write(rows.mapInArrow(_signer(above), schema), "signed")
         rank = F.struct(F.col("doc_id").isNull(), "doc_id", "row")
         classes = signed.where("n > 0").groupBy("n", "s1", "s2").agg(F.min(rank).alias("top"))
         classes = scratch.write(classes.select("n", "s1", "s2", F.col("top.row").alias("rep"), "top"), "classes")
         copies = signed.select("row", "n", "s1", "s2").join(classes, ["n", "s1", "s2"]).where("row <> rep")
         copies = scratch.write(copies.select("row"), "copies")
-        some = signed.where("n > 1").select("row", "n", "ways", "tokens").join(copies, "row", "left_anti")
-        held = some.select("row", F.explode("tokens").alias("h"))
-        first = held.groupBy("h").agg(F.count(F.lit(1)).alias("df"), F.min("row").alias("lead"))
+        some = signed.where("n > 1").select("row", "n", "ways", "rare", "tokens").join(copies, "row", "left_anti")
+        held = some.select("row", "rare", F.posexplode("tokens").alias("at", "h"))
+        lead = F.min(F.struct("rare", "row"))["row"].alias("lead")
+        first = held.groupBy("h").agg(F.count(F.lit(1)).alias("df"), lead)
         first = scratch.write(first.where("df > 1").select("h", "lead"), "tokens")
-        shared = scratch.write(held.join(first, "h"), "shared")
-        sizes = some.drop("tokens").join(shared.select("row").distinct(), "row", "left_semi")
-        sizes = scratch.write(sizes, "sizes")
-        size = lambda k: sizes.toDF(k, f"n_{k}", f"ways_{k}")
+        shared = held.select("row", "h", (F.col("at") < F.col("rare")).alias("few"))
+        shared = scratch.write(shared.join(first, "h"), "shared")
+        met = shared.groupBy("row").agg(F.count_if("few").alias("met"))
+        own = (F.col("rare") - F.col("met")).alias("own")  # tokens no other prefix holds
+        deep = (F.size("tokens") > F.col("rare")).alias("deep")  # every rare token is in the prefix
+        rest = (F.col("n") - F.size("tokens")).alias("rest")
+        sizes = scratch.write(some.join(met, "row").select("row", "n", "ways", own, deep, rest), "sizes")
+        size = lambda k: sizes.toDF(*[f"{c}_{k}" for c in sizes.columns]).withColumnRenamed(f"row_{k}", k)
         meet = shared.where("row <> lead").groupBy(F.col("row").alias("a"), F.col("lead").alias("b"))
         meet = meet.agg(F.count(F.lit(1)).alias("k"))
         near = F.least("n_a", "n_b") * 100 >= PERCENT * F.greatest("n_a", "n_b")
         near &= F.col("k") >= F.least("ways_a", "ways_b")
+        near &= _reachable("n_a", "own_a", "n_b", "deep_b") & _reachable("n_b", "own_b", "n_a", "deep_a")
         meet = meet.join(size("a"), "a").join(size("b"), "b").where(near).select("a", "b")
         texts = scratch.write(rows.select("row", "text").join(sizes.select("row"), "row", "left_semi"), "texts")
         edges = scratch.write(_verified(meet, texts), "edges-1")
         found = components(scratch, edges, "first")
-        at = shared.drop("lead").join(found.toDF("row", "c"), "row", "left").withColumn("c", F.coalesce("c", "row"))
+        at = shared.drop("lead", "few").join(found.toDF("row", "c"), "row", "left").withColumn("c", F.coalesce("c", "row"))
         at = scratch.write(at.join(sizes, "row"), "placed")
         mixed = at.groupBy("h").agg(F.min("c").alias("l"), F.max("c").alias("m")).where("l <> m").select("h")
         mixed = scratch.write(mixed, "mixed")
@@ -222,9 +244,14 @@ def link(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFra
         apart = F.col("x.h") == F.col("y.h")
         apart &= (F.col("x.c") != F.col("y.c")) & (F.col("x.n") <= F.col("y.n")) & (F.col("x.n") * 100 >= PERCENT * F.col("y.n"))
         apart &= (F.col("x.n") < F.col("y.n")) | (F.col("x.row") < F.col("y.row"))
+        apart &= _reachable("x.n", "x.own", "y.n", "y.deep") & _reachable("y.n", "y.own", "x.n", "x.deep")
         again = x.join(y, apart).groupBy(F.col("x.row").alias("a"), F.col("y.row").alias("b"))
-        again = again.agg(F.count(F.lit(1)).alias("k"), F.min(F.least("x.ways", "y.ways")).alias("need"))
-        again = scratch.write(again.where("k >= need").select("a", "b"), "again")
+        most = F.max(F.greatest("x.rest", "y.rest")).alias("rest")
+        need = F.min(F.least("x.ways", "y.ways")).alias("need")
+        again = again.agg(F.count(F.lit(1)).alias("k"), need, most, F.max(F.col("x.n") + F.col("y.n")).alias("n"))
+        # All that two sets share up to the end of one prefix is in both: k tokens, and the rest of that set.
+        enough = (F.col("k") + F.col("rest")) * (100 + PERCENT) >= F.col("n") * PERCENT
+        again = scratch.write(again.where((F.col("k") >= F.col("need")) & enough).select("a", "b"), "again")
         more = scratch.write(_verified(again, texts), "edges-2")
         if not more.isEmpty():
             found = components(scratch, edges.union(more), "second")
