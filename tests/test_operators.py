@@ -70,9 +70,31 @@ def test_salted_join_equals_plain_join_on_a_hot_key(spark, rows, how):
 
 def test_large_sides_are_not_broadcast(spark):
     big = spark.range(10**9)
-    assert not joins.fits_broadcast(big) and joins.fits_broadcast(spark.range(10))
-    plan = joins.join_unique(spark.range(10), big, ["id"])._jdf.queryExecution().executedPlan().toString()
-    assert "Broadcast" not in plan
+    for join in (joins.join_unique, joins.semi, joins.anti):
+        plan = join(spark.range(10), big, ["id"])._jdf.queryExecution().executedPlan().toString()
+        assert "Broadcast" not in plan and "Generate" not in plan  # nor is a side repeated
+
+
+def test_null_keys_are_dealt_over_tasks(spark):
+    left = spark.range(3000).select(F.when(F.col("id") % 3 > 0, F.col("id")).alias("k"), "id")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        joined = joins.join_unique(left, spark.range(500).withColumnRenamed("id", "k").withColumn("v", F.lit(1)), ["k"])
+        sizes = joined.where("k IS NULL").groupBy(F.spark_partition_id()).count().collect()
+        assert sum(r["count"] for r in sizes) == 1000 and max(r["count"] for r in sizes) < 500
+        assert joined.where("v = 1").count() == 333
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+
+
+def test_ordered_keys_with_an_outlier_and_nulls(spark):
+    ids = list(range(2000)) + [10**15, None, None]
+    df = spark.createDataFrame([(i, n) for n, i in enumerate(ids)], "k long, v int")
+    got = [(r.id, r.k) for r in keys.dense_keys(df, "k", ordered=True).orderBy("id").collect()]
+    assert [i for i, _ in got] == list(range(1, 2004))
+    assert [k for _, k in got] == [None, None, *range(2000), 10**15]
 
 
 def test_first_per_key_limits_before_the_shuffle(spark, rows):

@@ -58,7 +58,7 @@ def games(spark, data):
 
 
 def players(spark, data):
-    frame = spark.createDataFrame(data, "understat_game_id int, name string, team string")
+    frame = spark.createDataFrame([(*d, i) for i, d in enumerate(data)], "understat_game_id int, name string, team string, pos int")
     numbers = ["minutes_played", "shots", "goals", "assists", "expected_goals", "expected_assists", "key_passes"]
     return frame.withColumns({c: F.lit(1) for c in numbers})
 
@@ -66,18 +66,18 @@ def players(spark, data):
 def test_pair_is_replay_safe(spark, wh, rows):
     g = games(spark, [(5, "2024-08-16 19:00:00", "H", "A"), (6, "2024-08-17 19:00:00", "H", "A")])
     p = players(spark, [(5, "Bo", "H"), (5, "Bo", "A"), (6, "Al", "A")])
-    first = writers.write_pair(wh, g, p, "run-1")
+    first = writers.write_pair(wh, g, p, "run-1", ["pos"])
     assert first == {"games_inserted": 2, "games_total": 2, "players_inserted": 2, "players_total": 3}
-    again = writers.write_pair(wh, g, p, "run-2")
+    again = writers.write_pair(wh, g, p, "run-2", ["pos"])
     assert (again["games_inserted"], again["players_inserted"]) == (0, 0)
     assert rows(wh.read("raw.understat_games"), "id", "understat_id", "is_processed") in (
         [(1, 5, False), (2, 6, False)], [(1, 6, False), (2, 5, False)]
     )
-    assert rows(wh.read("raw.understat_player_games"), "name", "team", "run_id") == [("Al", "A", "run-1"), ("Bo", "A", "run-1")]
+    assert rows(wh.read("raw.understat_player_games"), "name", "team", "run_id") == [("Al", "A", "run-1"), ("Bo", "H", "run-1")]
 
 
 def test_empty_pair_writes_nothing(spark, wh):
-    done = writers.write_pair(wh, games(spark, []), players(spark, []), "run-1")
+    done = writers.write_pair(wh, games(spark, []), players(spark, []), "run-1", ["pos"])
     assert set(done.values()) == {0} and len(done) == 4
     assert wh.read("raw.understat_games").count() == 0
 

@@ -25,6 +25,19 @@ def lenient(df: DataFrame, types: Mapping[str, str]) -> tuple[DataFrame, DataFra
     return good, df.where(bad)
 
 
+def try_whole_number(text: Column) -> Column:
+    """Text as int; ``7.0`` counts as 7, anything else that is no whole number is NULL."""
+    number = text.try_cast("decimal(20, 6)")
+    return F.coalesce(text.try_cast("int"), F.when(number == F.floor(number), number.try_cast("int")))
+
+
+def whole_number(text: Column) -> Column:
+    """Text as int, failing on malformed text; NULL stays NULL."""
+    number = try_whole_number(text)
+    message = F.concat(F.lit("not a whole number: "), text)
+    return F.when(text.isNotNull() & number.isNull(), F.raise_error(message).cast("int")).otherwise(number)
+
+
 def text_key(value: Column) -> Column:
     """Key as text; NULL stays NULL."""
     return value.cast("string")

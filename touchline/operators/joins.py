@@ -1,9 +1,7 @@
 """Lookup, semi, anti and null-safe joins.
 
-No side is broadcast by hand. Spark broadcasts a side whose estimated (or, under
-AQE, measured) size is below ``spark.sql.autoBroadcastJoinThreshold``. A side above
-it goes through a salted shuffle join, so a left key holding a large share of the
-rows, NULL included, is spread over ``salts`` groups and AQE may split those further.
+No side is broadcast or repeated by hand. Spark picks the strategy, and AQE splits the left
+partitions of a hot key. Rows whose key is NULL match nothing and are dealt over tasks.
 """
 
 from __future__ import annotations
@@ -16,24 +14,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from touchline.operators.dedupe import first_per_key
 
 SALTS = 16
-
-
-def _bytes(text: str) -> int:
-    units = {"k": 10, "m": 20, "g": 30, "t": 40}
-    text = text.strip().lower().removesuffix("b")
-    if text and text[-1] in units:
-        return int(text[:-1]) << units[text[-1]]
-    return int(text)
-
-
-def fits_broadcast(df: DataFrame) -> bool:
-    """Whether Catalyst's size estimate is within the session's broadcast limit."""
-    limit = _bytes(df.sparkSession.conf.get("spark.sql.autoBroadcastJoinThreshold", "10m"))
-    plan = getattr(df, "_jdf", None)
-    if plan is None or limit <= 0:
-        return False
-    size = plan.queryExecution().optimizedPlan().stats().sizeInBytes()
-    return int(str(size)) <= limit
+NULL_DEAL = 256
 
 
 def _row_salt(df: DataFrame, salts: int) -> Column:
@@ -58,17 +39,17 @@ def salted_join(
     return spread.join(copies, [*on, "_salt"], how).drop("_salt")
 
 
-def join_unique(
-    left: DataFrame,
-    right: DataFrame,
-    on: Sequence[str],
-    how: str = "left",
-    salts: int = SALTS,
-) -> DataFrame:
-    """Join ``left`` (any skew) to ``right`` (few rows per key), salted if ``right`` is large."""
-    if salts <= 1 or fits_broadcast(right):
-        return left.join(right, list(on), how)
-    return salted_join(left, right, on, how, salts)
+def join_unique(left: DataFrame, right: DataFrame, on: Sequence[str], how: str = "left") -> DataFrame:
+    """Join ``left`` (any skew) to ``right`` (few rows per key).
+
+    A left row with a NULL key matches nothing; it gets a number by its content as a second
+    key, so that such rows do not meet in one task. All other rows have 0 there.
+    """
+    missing = reduce(lambda a, b: a | b, [F.col(c).isNull() for c in on])
+    dealt = left.withColumn("_deal", F.when(missing, _row_salt(left, NULL_DEAL)).otherwise(0))
+    # Not a literal: a constant would be taken out of the join keys.
+    plain = right.withColumn("_deal", F.pmod(F.xxhash64(*on), F.lit(1)).cast("int"))
+    return dealt.join(plain, [*on, "_deal"], how).drop("_deal")
 
 
 def lookup_first(
@@ -76,13 +57,12 @@ def lookup_first(
     right: DataFrame,
     on: str,
     order: Sequence[str | Column],
-    salts: int = SALTS,
 ) -> DataFrame:
     """Left join to the first right row per key. Keys compare as text; NULL never matches."""
     right = first_per_key(right.where(F.col(on).isNotNull()), [on], order)
     right = right.withColumn(on, F.col(on).cast("string"))
     left = left.withColumn(on, F.col(on).cast("string"))
-    return join_unique(left, right, [on], "left", salts)
+    return join_unique(left, right, [on], "left")
 
 
 def left_by_name(left: DataFrame, right: DataFrame, on: str) -> DataFrame:
@@ -90,28 +70,22 @@ def left_by_name(left: DataFrame, right: DataFrame, on: str) -> DataFrame:
     return join_unique(left, right.distinct(), [on], "left")
 
 
-def left_null_safe(
-    left: DataFrame, right: DataFrame, on: Sequence[str], salts: int = SALTS
-) -> DataFrame:
+def left_null_safe(left: DataFrame, right: DataFrame, on: Sequence[str]) -> DataFrame:
     """Left join in which NULL keys match NULL keys."""
     renamed = right.withColumnsRenamed({c: f"_r_{c}" for c in on})
     same = [F.col(c).eqNullSafe(F.col(f"_r_{c}")) for c in on]
-    if salts > 1 and not fits_broadcast(right):
-        left = left.withColumn("_salt", _row_salt(left, salts))
-        renamed = renamed.withColumn("_r_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
-        same.append(F.col("_salt") == F.col("_r_salt"))
     joined = left.join(renamed, reduce(lambda a, b: a & b, same), "left")
-    return joined.drop("_salt", "_r_salt", *[f"_r_{c}" for c in on])
+    return joined.drop(*[f"_r_{c}" for c in on])
 
 
-def semi(left: DataFrame, right: DataFrame, on: Sequence[str], salts: int = SALTS) -> DataFrame:
+def semi(left: DataFrame, right: DataFrame, on: Sequence[str]) -> DataFrame:
     """Rows of ``left`` whose key occurs in ``right``."""
-    return join_unique(left, right.select(*on).distinct(), on, "left_semi", salts)
+    return join_unique(left, right.select(*on).distinct(), on, "left_semi")
 
 
-def anti(left: DataFrame, right: DataFrame, on: Sequence[str], salts: int = SALTS) -> DataFrame:
+def anti(left: DataFrame, right: DataFrame, on: Sequence[str]) -> DataFrame:
     """Rows of ``left`` whose key does not occur in ``right``; a NULL key is kept."""
-    return join_unique(left, right.select(*on).distinct(), on, "left_anti", salts)
+    return join_unique(left, right.select(*on).distinct(), on, "left_anti")
 
 
 def side_team(side: Column, home: Column, away: Column) -> Column:
@@ -120,5 +94,6 @@ def side_team(side: Column, home: Column, away: Column) -> Column:
 
 
 def gaps(candidates: DataFrame, found: DataFrame, on: str) -> DataFrame:
-    """Candidate ids with no row in ``found``."""
-    return anti(candidates.select(on), found.where(F.col(on).isNotNull()), [on])
+    """Candidate ids with no row in ``found``, which is cut to the candidates' range first."""
+    low, high = candidates.agg(F.min(on)).scalar(), candidates.agg(F.max(on)).scalar()
+    return anti(candidates.select(on), found.where((F.col(on) >= low) & (F.col(on) <= high)), [on])

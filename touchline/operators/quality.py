@@ -31,7 +31,7 @@ def foreign_key_violations(child: DataFrame, column: str, parent: DataFrame, par
         .groupBy(column)
         .agg(F.count(F.lit(1)).alias("n_rows"))
     )
-    return anti(held, parent.select(F.col(parent_key).alias(column)), [column], salts=1)
+    return anti(held, parent.select(F.col(parent_key).alias(column)), [column])
 
 
 def null_counts(df: DataFrame, columns: Sequence[str]) -> DataFrame:

@@ -49,6 +49,8 @@ def roster_rows(ok: DataFrame) -> DataFrame:
     return explode_rosters(flat, "api_json", (KEY, "home", "away")).select(
         KEY,
         side_team(F.col("side"), F.col("home"), F.col("away")).alias("team"),
+        "side_no",
+        "pos",
         *[F.col(src).alias(dst) for src, dst, _ in ROSTER_MAPPING],
     )
 
@@ -98,7 +100,7 @@ def add_matches(
     attempted, _ = stage(attempt(pages, rosters, last_match(wh)), "matches")
     ok, failed = split_status(attempted)
     players, _ = stage(player_rows(ok), "match-players")
-    written = write_pair(wh, games(ok), players, run_id)
+    written = write_pair(wh, games(ok), players, run_id, ["side_no", "pos"])
     per_match = players.groupBy(KEY).agg(F.count(F.lit(1)).alias("n_players"))
     report = batch_counts(attempted.join(per_match, KEY, "left"), players="n_players")
     return {

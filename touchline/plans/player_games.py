@@ -9,19 +9,19 @@ from pyspark.sql import Column, DataFrame, functions as F
 from touchline.functions.text import season_label
 from touchline.operators.dedupe import first_per_key
 from touchline.operators.filters import after_mark
-from touchline.operators.joins import join_unique, semi
+from touchline.operators.joins import anti, join_unique, semi
 from touchline.operators.marks import filtered_max
 from touchline.operators.project import mapped, stamp_run_id
 from touchline.schemas import HISTORY_MAPPING, PLAYER_GAMES_NATURAL_KEY
 from touchline.sinks.writers import append, insert_if_absent
-from touchline.sources.payloads import histories, undecodable
+from touchline.sources.payloads import histories, histories_lenient, undecodable
 from touchline.sources.tables import Warehouse, param_union
 
 STORED_MAPPING = [(src, dst, ty) for src, _, dst, ty in HISTORY_MAPPING]
 
 
 def increment(
-    payloads: DataFrame, elements: DataFrame, ids: DataFrame, mark: DataFrame
+    payloads: DataFrame, elements: DataFrame, ids: DataFrame, mark: DataFrame, lenient: bool = False
 ) -> DataFrame:
     """New history records of the known players, mapped to stored columns.
 
@@ -30,7 +30,8 @@ def increment(
     sharing an id the last by ``pos`` counts.
     """
     wanted = semi(payloads, ids, ["player_id"])
-    records = after_mark(histories(wanted), "round", mark)
+    opened = histories_lenient(wanted)[0] if lenient else histories(wanted)
+    records = after_mark(opened, "round", mark)
     meta = first_per_key(
         elements.select(
             F.col("id").alias("player_id"),
@@ -62,16 +63,20 @@ def add_player_games(
     run_date: date,
     run_id: str,
     natural_key: bool = False,
+    lenient: bool = False,
 ) -> dict[str, object]:
     """Store the new player games of a season.
 
     The table has no unique key, so rows are appended as they are; ``natural_key``
-    makes the load repeatable instead. Unreadable payloads come back as ``rejects``.
+    makes the load repeatable instead. Unreadable payloads come back as ``rejects``, known
+    ids without a payload as ``missing``. A malformed number fails the job; with ``lenient``
+    such records come back as ``record_rejects``.
     """
     season = season_label(F.lit(run_date))
     games = wh.read("analytics.games")
     mark = filtered_max(games, F.col("season") == season, "gw")
-    rows = increment(payloads, elements, known_ids(wh, season), mark)
+    known = known_ids(wh, season)
+    rows = increment(payloads, elements, known, mark, lenient)
     rows = stamp_run_id(rows.withColumn("season", season), run_id)
     if natural_key:
         done: dict[str, object] = dict(
@@ -81,4 +86,8 @@ def add_player_games(
         )
     else:
         done = {"inserted": append(wh, "raw.fpl_player_games", rows)}
-    return {**done, "rejects": undecodable(payloads)}
+    done["rejects"] = undecodable(payloads)
+    done["missing"] = anti(known, payloads, ["player_id"])
+    if lenient:
+        done["record_rejects"] = histories_lenient(semi(payloads, known, ["player_id"]))[1]
+    return done

@@ -24,6 +24,7 @@ def source_players(elements: DataFrame, run_date: date) -> DataFrame:
         full_name(F.col("first_name"), F.col("second_name")).alias("name"),
         text_key(F.col("code")).alias("opta_id"),
         F.col("element_type").alias("position"),
+        F.col("pos"),
     )
 
 
@@ -52,9 +53,9 @@ def add_players(wh: Warehouse, elements: DataFrame, run_date: date) -> dict[str,
     matched, unmatched = split_matched(resolved, "player_id")
     return {
         "mapped": insert_if_absent(
-            wh, "staging.fpl_player_mapping", matched, ["match_step", "fpl_seasonal_id"]
+            wh, "staging.fpl_player_mapping", matched, ["match_step", "pos"]
         ),
         "for_review": insert_if_absent(
-            wh, "raw.fpl_player_manual_review", unmatched, ["fpl_seasonal_id"]
+            wh, "raw.fpl_player_manual_review", unmatched, ["pos"]
         ),
     }

@@ -59,7 +59,9 @@ HISTORY_MAPPING: list[tuple[str, str, str, str]] = [
     ("starts", "int", "starts", "int"),
 ]
 
-_HISTORY_RECORD = ", ".join(f"`{src}`:{ty}" for src, ty, _, _ in HISTORY_MAPPING)
+# Every field is read as text, so that a malformed one is seen and not turned into NULL.
+_HISTORY_RECORD = ", ".join(f"{name}:string" for name, _, _, _ in HISTORY_MAPPING)
+HISTORY_WHOLE = [name for name, _, _, stored in HISTORY_MAPPING if stored == "int"]
 HISTORY_PAYLOAD = f"history array<struct<{_HISTORY_RECORD}>>"
 
 MATCH_INFO = "league string, league_id string, team_h string, team_a string, date string"

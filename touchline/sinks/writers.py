@@ -116,15 +116,18 @@ def write_pair(
     games: DataFrame,
     players: DataFrame,
     run_id: str,
-    order: Sequence[str] = (),
+    order: Sequence[str],
 ) -> dict[str, int]:
-    """Write games, then their players. A run cut off in between is completed by a replay."""
-    g = insert_if_absent(wh, "raw.understat_games", games, [*order, "date", "home", "away"])
+    """Write games, then their players. A run cut off in between is completed by a replay.
+
+    Of the players of one (match, name) the first by ``order``, their place in the payload, is kept.
+    """
+    g = insert_if_absent(wh, "raw.understat_games", games, ["date", "home", "away"])
     p = insert_if_absent(
         wh,
         "raw.understat_player_games",
         stamp_run_id(players, run_id),
-        [*order, "team", "minutes_played"],
+        order,
         keys=["understat_game_id", "name"],
     )
     return {

@@ -4,9 +4,11 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
+from touchline.functions.casting import try_whole_number, whole_number
 from touchline.functions.text import match_info_text
 from touchline.schemas import (
     HISTORY_PAYLOAD,
+    HISTORY_WHOLE,
     PLAYERS_PAYLOAD,
     ROSTER_ENVELOPE,
     ROSTER_SIDE,
@@ -45,21 +47,39 @@ def explode_array(df: DataFrame, array: Column, keep: tuple[str, ...] = ()) -> D
     return explode_positions(df, array, keep).drop("pos")
 
 
+def _present(array: Column, name: str) -> Column:
+    """The array; a payload without it, or one that is no JSON, fails the job."""
+    return F.when(array.isNull(), F.raise_error(F.lit(f"payload has no {name}"))).otherwise(array)
+
+
 def players(df: DataFrame, column: str = "payload") -> DataFrame:
     """Master players: pos, id, first_name, second_name, code, element_type, team."""
-    return explode_positions(df, F.from_json(column, PLAYERS_PAYLOAD)["elements"])
+    return explode_positions(df, _present(F.from_json(column, PLAYERS_PAYLOAD)["elements"], "elements"))
 
 
 def teams(df: DataFrame, column: str = "payload") -> DataFrame:
     """Master teams: id, name."""
-    return explode_array(df, F.from_json(column, TEAMS_PAYLOAD)["teams"])
+    return explode_array(df, _present(F.from_json(column, TEAMS_PAYLOAD)["teams"], "teams"))
 
 
-def histories(df: DataFrame, key: str = "player_id", column: str = "payload") -> DataFrame:
-    """One row per history record of each player."""
+def _history_text(df: DataFrame, key: str, column: str) -> DataFrame:
     return explode_array(df, F.from_json(column, HISTORY_PAYLOAD)["history"], (key,))
 
 
+def histories(df: DataFrame, key: str = "player_id", column: str = "payload") -> DataFrame:
+    """One row per history record of each player; a malformed whole number fails the job."""
+    return _history_text(df, key, column).withColumns({c: whole_number(F.col(c)) for c in HISTORY_WHOLE})
+
+
+def histories_lenient(df: DataFrame, key: str = "player_id", column: str = "payload") -> tuple[DataFrame, DataFrame]:
+    """(records as of ``histories``, records with a malformed whole number, left as text)."""
+    text = _history_text(df, key, column)
+    bad = F.lit(False)
+    for c in HISTORY_WHOLE:
+        bad = bad | (F.col(c).isNotNull() & try_whole_number(F.col(c)).isNull())
+    return text.where(~bad).withColumns({c: try_whole_number(F.col(c)) for c in HISTORY_WHOLE}), text.where(bad)
+
+
 def undecodable(df: DataFrame, column: str = "payload") -> DataFrame:
     """Rows whose payload is no JSON object, kept as rejects."""
     return df.where(F.json_object_keys(column).isNull())
@@ -71,11 +91,14 @@ def with_match_info(df: DataFrame, html: str = "page_html", name: str = "info_te
 
 
 def explode_rosters(df: DataFrame, column: str, keep: tuple[str, ...] = ()) -> DataFrame:
-    """One row per roster player, tagged with ``side``; a side that is no map gives none."""
+    """One row per roster player with ``side`` and its place in the payload (``side_no``, ``pos``).
+
+    A side that is no map gives no rows.
+    """
     opened = df.select(*keep, F.from_json(F.col(column), ROSTER_ENVELOPE)["rosters"].alias("_r"))
     sides = F.array(
         *[F.struct(F.lit(s).alias("side"), F.col(f"_r.{s}").alias("text")) for s in ("h", "a")]
     )
-    flat = explode_array(opened, sides, keep)
+    flat = explode_positions(opened, sides, keep).withColumnRenamed("pos", "side_no")
     roster = F.when(F.col("text").startswith("{"), F.from_json("text", ROSTER_SIDE))
-    return explode_array(flat, F.map_values(roster), (*keep, "side"))
+    return explode_positions(flat, F.map_values(roster), (*keep, "side", "side_no"))

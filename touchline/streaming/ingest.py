@@ -54,19 +54,27 @@ def landed_matches(spark: SparkSession, path: str, files_per_batch: int = 25) ->
     )
 
 
+def rejected_path(wh: Warehouse) -> str:
+    """Where the stream leaves the matches it did not accept."""
+    return f"{wh.root}/rejected/understat_games"
+
+
 def ingest_matches(wh: Warehouse, source: DataFrame, run_id: str, checkpoint: str) -> StreamingQuery:
     """Store matches as they land.
 
     Each micro-batch writes games and players. If a batch is cut off and replayed, the
-    keys it stored before are skipped, so both tables end up the same.
+    keys it stored before are skipped, so both tables end up the same. Matches that are
+    not accepted go to ``rejected_path`` with their status, one folder per run and batch.
     """
 
-    def each(batch: DataFrame, _: int) -> None:
+    def each(batch: DataFrame, number: int) -> None:
         pages = batch.select(KEY, "page_status", "page_html")
         rosters = batch.select(KEY, "api_status", "api_json")
         done, n = stage(classify(pages, rosters), "stream")
         if n:
-            ok, _rejects = split_status(done)
-            write_pair(wh, games(ok), player_rows(ok), run_id)
+            ok, rejects = split_status(done)
+            write_pair(wh, games(ok), player_rows(ok), run_id, ["side_no", "pos"])
+            folder = f"{rejected_path(wh)}/run_id={run_id}/batch={number}"
+            rejects.select(KEY, "status").write.mode("overwrite").parquet(folder)
 
     return run_available(source, each, checkpoint)
