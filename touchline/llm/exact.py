@@ -23,7 +23,7 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, functions as F, Window
 
-from touchline.llm.text import whole_text, with_row
+from touchline.llm.text import numbered, whole_text, with_row
 from touchline.session import Scratch
 
 BLOCK = 8192
@@ -45,7 +45,9 @@ def _first_names(scratch: Scratch, blocks: DataFrame) -> DataFrame:
     if shared.isEmpty():
         names = scratch.write(_named(counted.select("key"), "key"), "names-0")
         return blocks.drop("block").join(names, "key").drop("key")
-    # Keys that several blocks share: the content tells these apart.
+    # Keys that several blocks share: the content tells these apart. Both parts of the
+    # blocks must carry the same row numbers, so they are written.
+    blocks = scratch.write(blocks, "blocks")
     clash = blocks.join(shared, "key", "left_semi").select("key", "block").distinct()
     place = F.row_number().over(Window.partitionBy("key").orderBy("block"))
     clash = scratch.write(clash.withColumn("place", place), "clash")
@@ -65,11 +67,12 @@ def identify(
     block: int = BLOCK,
     normalise: Callable[[Column], Column] | None = None,
     key: Callable[[Column], Column] = F.xxhash64,
+    number: str | None = None,
 ) -> DataFrame:
     """One row per row of ``docs``: row, doc_id, keep_id, group_size, kept, text_sha256."""
     body = whole_text(text) if normalise is None else normalise(whole_text(text))
     with Scratch(docs.sparkSession, "exact") as scratch:
-        rows = with_row(docs, id=doc_id, bytes=body.cast("binary"))
+        rows = with_row(docs, number, id=doc_id, bytes=body.cast("binary"))
         size = F.octet_length("bytes")
         rows = rows.select(
             "row",
@@ -121,17 +124,14 @@ def identify(
         return scratch.publish(found)
 
 
-def keep_rows(docs: DataFrame, rows: DataFrame) -> DataFrame:
-    """Rows of ``docs`` whose place is among ``rows.row``; ``docs`` as in ``with_row``."""
-    mark = "row"
-    while mark in docs.columns:
-        mark += "_"
-    numbered = docs.withColumn(mark, F.monotonically_increasing_id())
+def keep_rows(docs: DataFrame, number: str, rows: DataFrame) -> DataFrame:
+    """Rows of ``docs`` whose stored ``number`` is among ``rows.row``, without the number."""
     # The list of rows grows with the data, so it is never broadcast.
-    kept = rows.select(F.col("row").alias(mark)).hint("merge")
-    return numbered.join(kept, mark, "left_semi").select(*docs.columns)
+    kept = rows.select(F.col("row").alias(number)).hint("merge")
+    return docs.join(kept, number, "left_semi").drop(number)
 
 
 def drop_copies(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """``docs`` with one row of every group of equal texts, all columns kept."""
-    return keep_rows(docs, identify(docs, doc_id, text).where("kept"))
+    docs, number = numbered(docs)
+    return keep_rows(docs, number, identify(docs, doc_id, text, number=number).where("kept"))

@@ -33,7 +33,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from touchline.llm.components import components
 from touchline.llm.exact import keep_rows
-from touchline.llm.text import LOWER, Words, bytes_of, mix, runs, whole_text, with_row
+from touchline.llm.text import LOWER, Words, bytes_of, mix, numbered, runs, whole_text, with_row
 from touchline.session import Scratch
 
 SHINGLE = 5
@@ -199,12 +199,13 @@ def _reachable(n: str, own: str, other_n: str, other_deep: str) -> Column:
     return most * 100 >= (F.col(n) + F.col(other_n) - most) * PERCENT
 
 
-def link(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
+def link(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", number: str | None = None) -> DataFrame:
     """One row per row of ``docs``: row, doc_id, n_shingles, component_id, kept."""
     spark = docs.sparkSession
     with Scratch(spark, "jaccard") as scratch:
-        rows = with_row(docs, doc_id=F.col(doc_id).cast("long"), text=whole_text(text).cast("binary"))
+        rows = with_row(docs, number, doc_id=F.col(doc_id).cast("long"), text=whole_text(text).cast("binary"))
         rows = rows.select("row", "doc_id", "text")
+        rows = rows if number else scratch.write(rows, "rows")
         above = frequencies(rows)
         schema = "row long, doc_id long, n long, s1 long, s2 long, ways int, rare int, tokens array<long>"
         signed = scratch.write(rows.mapInArrow(_signer(above), schema), "signed")
@@ -272,4 +273,5 @@ def link(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFra
 
 def drop_near_copies(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """``docs`` with one row of every component, that with the smallest id, all columns kept."""
-    return keep_rows(docs, link(docs, doc_id, text).where("kept"))
+    docs, number = numbered(docs)
+    return keep_rows(docs, number, link(docs, doc_id, text, number).where("kept"))

@@ -25,7 +25,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from touchline.llm.text import WORD, whole_text, with_row
+from touchline.llm.text import WORD, numbered, whole_text, with_row
 from touchline.session import Scratch
 
 CAP = 3
@@ -149,12 +149,13 @@ def mix(
     source: str = "source",
     weights: Sequence[float] = (1, 2, 3),
     cap: float = CAP,
+    number: str | None = None,
 ) -> DataFrame:
     """One row per row of ``docs``: row, doc_id, source, size, source_size, target, rate,
     copies, taken. Sources by code point, null last, weigh ``weights``, repeating."""
     spark = docs.sparkSession
     with Scratch(spark, "mix") as scratch:
-        sized = with_row(docs, doc_id=doc_id, source=source, size=word_count(text))
+        sized = with_row(docs, number, doc_id=doc_id, source=source, size=word_count(text))
         sized = scratch.write(sized, "sized")
         totals = sized.groupBy("source").agg(F.sum("size").alias("size"), F.count(F.lit(1)).alias("n"))
         listed = sorted(totals.collect(), key=lambda r: (r["source"] is None, r["source"] or ""))
@@ -202,9 +203,9 @@ def mix(
 
 def take_copies(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", source: str = "source") -> DataFrame:
     """``docs`` as the mix takes them: each row as often as its copies, or not at all."""
-    mixed = mix(docs, doc_id, text, source).where("copies > 0").select("row", "copies")
-    row, copies = (n + "_" * (1 + max(map(len, docs.columns))) for n in ("row", "copies"))
-    numbered = docs.withColumn(row, F.monotonically_increasing_id())
-    joined = numbered.join(mixed.toDF(row, copies), row)
+    columns, copies = docs.columns, "copies" + "_" * (1 + max(map(len, docs.columns)))
+    docs, number = numbered(docs)
+    mixed = mix(docs, doc_id, text, source, number=number).where("copies > 0").select("row", "copies")
+    joined = docs.join(mixed.toDF(number, copies), number)
     again = F.explode(F.sequence(F.lit(1), F.col(copies)))
-    return joined.select(*docs.columns, again.alias(copies)).select(*docs.columns)
+    return joined.select(*columns, again.alias(copies)).select(*columns)

@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
 from touchline.llm.exact import keep_rows
-from touchline.llm.text import SPACES, bytes_of, runs, whole_text, with_row
+from touchline.llm.text import SPACES, bytes_of, numbered, runs, whole_text, with_row
 from touchline.session import Scratch
 
 MIN_WORDS = 50
@@ -145,11 +145,11 @@ def estimate(patterns: np.ndarray, n: np.ndarray, rounds: int = 500) -> tuple[np
     return p, right
 
 
-def judge(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
+def judge(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", number: str | None = None) -> DataFrame:
     """One row per row of ``docs``: row, doc_id, the measures, base_failed, quality, kept."""
     spark = docs.sparkSession
     with Scratch(spark, "quality") as scratch:
-        rows = with_row(docs, doc_id=F.col(doc_id).cast("long"), text=whole_text(text).cast("binary"))
+        rows = with_row(docs, number, doc_id=F.col(doc_id).cast("long"), text=whole_text(text).cast("binary"))
         schema = "row long, doc_id long, " + ", ".join(f"{k} long" for k in MEASURES) + ", pattern int"
         measured = scratch.write(rows.select("row", "doc_id", "text").mapInArrow(_measurer, schema), "measured")
         seen = sorted(map(tuple, measured.groupBy("pattern").count().collect()))  # 3 ** RULES at most
@@ -167,4 +167,5 @@ def judge(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFr
 
 def keep_good(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """``docs`` without the rows that the rules reject, all columns kept."""
-    return keep_rows(docs, judge(docs, doc_id, text).where("kept"))
+    docs, number = numbered(docs)
+    return keep_rows(docs, number, judge(docs, doc_id, text, number).where("kept"))

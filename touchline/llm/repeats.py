@@ -53,7 +53,10 @@ def _sender(anchors: Anchors, buckets: int):
         for batch in batches:
             row = batch.column(0).to_numpy()
             data, at = bytes_of(batch.column(1))
-            for first, last in runs(at, RUN):
+            # A run is named by its first row, so it ends where the numbers do not go on by one.
+            edge = np.concatenate(([0], np.flatnonzero(np.diff(row) != 1) + 1, [len(row)])) if len(row) else []
+            parts = ((int(i) + f, int(i) + l) for i, j in zip(edge, edge[1:]) for f, l in runs(at[i : j + 1], RUN))
+            for first, last in parts:
                 span = at[first : last + 1]
                 probe, ref, doc, pos = anchors(data[span[0] : span[-1]], span - span[0])
                 value, n = np.unique(probe, return_counts=True)

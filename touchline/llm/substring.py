@@ -151,7 +151,7 @@ def remove_repeats(
     block = window // 2
     with Scratch(docs.sparkSession, "substring") as scratch:
         rows = with_row(docs, id=F.col(doc_id).cast("long"), text=whole_text(text).cast("binary"))
-        rows = rows.select("row", "id", "text")
+        rows = scratch.write(rows.select("row", "id", "text"), "rows")
         buckets = bucket_count(rows)
         hits = scratch.write(repeated_anchors(rows, partial(block_anchors, block), buckets), "hits")
         some = scratch.write(with_places(rows, hits, "hits").select("row", "id", "text", "hits"), "some")

@@ -295,7 +295,7 @@ def remove_repeats(
     left of the changed documents (``kept_text``, null if nothing was removed)."""
     with Scratch(docs.sparkSession, "suffix") as scratch:
         rows = with_row(docs, id=F.col(doc_id).cast("long"), text=whole_text(text).cast("binary"))
-        rows = rows.select("row", "id", "text")
+        rows = scratch.write(rows.select("row", "id", "text"), "rows")
         buckets = bucket_count(rows)
         hits = scratch.write(repeated_anchors(rows, partial(byte_anchors, window), buckets), "hits")
         some = scratch.write(with_places(rows, hits, "hits").select("row", "id", "text", "hits"), "some")

@@ -12,6 +12,8 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
+from touchline.session import materialise
+
 SPACES = b"\x20\x09\x0a\x0b\x0c\x0d"
 WORD = r"[^\x20\x09-\x0D]+"
 
@@ -31,15 +33,25 @@ def whole_text(text: str) -> Column:
     return F.coalesce(F.col(text), F.lit(""))
 
 
-def with_row(docs: DataFrame, **columns: str | Column) -> DataFrame:
+def with_row(docs: DataFrame, number: str | None = None, **columns: str | Column) -> DataFrame:
     """The named columns and ``row``, a number of its own for every row.
 
-    ``docs`` must be a stable scan, as a table of files is: the numbers then come out
-    the same each time. Only the named columns are read, so no other can clash.
+    ``number`` is a column of ``docs`` that holds stored numbers. Without it each job that
+    runs the frame numbers anew, by the splits of its own scan, so the frame may be run once
+    only: what uses it more often writes it first. Only the named columns are read, so no
+    other can clash.
     """
     picked = [F.col(c) if isinstance(c, str) else c for c in columns.values()]
     picked = [c.alias(name) for name, c in zip(columns, picked)]
-    return docs.select(*picked, F.monotonically_increasing_id().alias("row"))
+    return docs.select(*picked, (F.col(number) if number else F.monotonically_increasing_id()).alias("row"))
+
+
+def numbered(docs: DataFrame) -> tuple[DataFrame, str]:
+    """``docs``, written with a column of row numbers, and that column's name."""
+    number = "row"
+    while number.lower() in map(str.lower, docs.columns):
+        number += "_"
+    return materialise(docs.withColumn(number, F.monotonically_increasing_id()), "numbered"), number
 
 
 def bytes_of(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:

@@ -146,7 +146,7 @@ def write_archives(
     files.create_dir(path, recursive=True)
     with Scratch(spark, "warc") as scratch:
         payload = F.coalesce(F.col(html), F.lit("")).cast("binary")
-        rows = with_row(pages, page=F.col(page_id).cast("long"), payload=payload)
+        rows = scratch.write(with_row(pages, page=F.col(page_id).cast("long"), payload=payload), "rows")
         size = F.octet_length("payload")
         rows = rows.withColumn("same", F.when(size >= REVISIT_FROM, F.concat(F.sha2("payload", 256), size)))
         # Only payloads found more than once travel: pre-aggregated, then joined by key.
