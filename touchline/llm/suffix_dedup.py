@@ -10,8 +10,11 @@ prefixes show which windows they share; of each window's occurrences the earlies
 the others are removed. Strings are judged on the input; matches never cross documents.
 
 Anchors and fragments are compared by 64-bit hashes, windows within a suffix array by their
-bytes. The fragments of one gram are sorted together: their number is that of the gram's
-different surroundings, not of its copies.
+bytes. The fragments of one gram are sorted together, unless it has many: of a gram with
+``HOT`` different surroundings or more each window is a key of its own, the hash of its
+bytes, and only equal windows meet, first within a task and then in a join, so such a gram
+spreads over all tasks. Surroundings are counted over the runs of text that hold ``SEEN``
+or more of them; which way a gram goes changes the load and not what is found.
 
 Earlier means a smaller id, or the same document and an earlier start; null ids come first,
 and rows with one id are taken in the order of the table. Null texts count as empty; a text
@@ -35,13 +38,14 @@ from touchline.session import Scratch
 
 WINDOW, GRAM = 100, 32
 BLOCK = 64 << 10  # bytes of fragments per suffix array; one gram's fragments are not parted
+HOT, SEEN = 4096, 8
 
 FOUND = (
     "bucket int, h binary, doc binary, pos binary, size binary, gram binary, text binary, rows binary, "
-    "ids binary, known_row binary, known_span binary"
+    "ids binary, known_row binary, known_span binary, many binary"
 )
 _FOUND = [f.split()[0] for f in FOUND.split(", ")]
-_KINDS = [pa.int32()] + [pa.binary()] * 10
+_KINDS = [pa.int32()] + [pa.binary()] * 11
 _PLACE = np.uint64((1 << 30) - 1)
 
 
@@ -86,7 +90,7 @@ def _span(pos: np.ndarray, size: np.ndarray | int) -> np.ndarray:
     return (pos.astype(np.int64) << 16) | size
 
 
-def _fragments(window: int, buckets: int):
+def _fragments(window: int, buckets: int, seen: int):
     shift = np.uint64(64 - (buckets.bit_length() - 1))
 
     def find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -103,6 +107,8 @@ def _fragments(window: int, buckets: int):
                 lead = earliest((h, same), ids[doc], row[doc], first)
                 order = np.flatnonzero(lead)[np.argsort(h[lead], kind="stable")]
                 cut = np.searchsorted(h[order] >> shift, np.arange(buckets + 1, dtype=np.uint64))
+                gram, n = np.unique(h[lead], return_counts=True)
+                many = np.stack([gram, n.astype(np.uint64)], 1)[n >= seen].astype("<u8").tobytes()
                 raw, out = data.tobytes(), []
                 for b in range(buckets):
                     some, here = order[cut[b] : cut[b + 1]], b == turn % buckets
@@ -123,6 +129,7 @@ def _fragments(window: int, buckets: int):
                             ids[used].astype("<i8").tobytes(),
                             row[doc[~lead]].astype("<i8").tobytes() if here else b"",
                             _span(first[~lead], size[~lead]).astype("<i8").tobytes() if here else b"",
+                            many if here else b"",
                         )
                     )
                 turn += 1
@@ -131,6 +138,68 @@ def _fragments(window: int, buckets: int):
     return find
 
 
+def _counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        pairs = np.frombuffer(b"".join(batch.column(0).to_pylist()), "<i8").reshape(-1, 2)
+        yield pa.RecordBatch.from_arrays([pa.array(pairs[:, 0]), pa.array(pairs[:, 1])], ["h", "n"])
+
+
+def _without(hot: np.ndarray):
+    """The packed fragments but those of the hot grams."""
+
+    def leave(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        kinds = {"h": "<u8", "doc": "<u4", "pos": "<u4", "size": "<u2", "gram": "<u2"}
+        for batch in batches:
+            out = batch.to_pylist()
+            for p in out:
+                keep = ~np.isin(np.frombuffer(p["h"], "<u8"), hot)
+                if keep.all():
+                    continue
+                size = np.frombuffer(p["size"], "<u2").astype(np.int64)
+                p["text"] = np.frombuffer(p["text"], np.uint8)[np.repeat(keep, size)].tobytes()
+                for k, kind in kinds.items():
+                    p[k] = np.frombuffer(p[k], kind)[keep].tobytes()
+            yield pa.RecordBatch.from_arrays([pa.array([p[k] for p in out], t) for k, t in zip(_FOUND, _KINDS)], _FOUND)
+
+    return leave
+
+
+def _hot_windows(hot: np.ndarray, window: int):
+    """Every window of the hot grams' fragments; ``first`` if none of its run is earlier."""
+
+    def find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for p in batch.to_pylist():
+                h = np.frombuffer(p["h"], "<u8")
+                some = np.flatnonzero(np.isin(h, hot))
+                if not len(some):
+                    continue
+                size, doc = np.frombuffer(p["size"], "<u2").astype(np.int64), np.frombuffer(p["doc"], "<u4")
+                n = size[some] - window + 1
+                f = np.repeat(some, n)
+                place = np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
+                start = (np.cumsum(size) - size)[f] + place
+                w = span_hashes(np.frombuffer(p["text"], np.uint8), start, start + window)
+                ids, row = (np.frombuffer(p[k], "<i8")[doc[f]] for k in ("ids", "rows"))
+                pos = np.frombuffer(p["pos"], "<u4").astype(np.int64)[f] + place
+                first = earliest((h[f], w), ids, row, pos)
+                columns = [h[f].view("<i8"), w.view("<i8"), ids, row, pos, first]
+                yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], ["h", "w", "id", "row", "pos", "first"])
+
+    return find
+
+
+def _hot_later(scratch: Scratch, found: DataFrame, hot: np.ndarray, window: int) -> DataFrame:
+    """(row, pos): windows of the hot grams that have an earlier occurrence."""
+    schema = "h long, w long, id long, row long, pos long, first boolean"
+    every = scratch.write(found.mapInArrow(_hot_windows(hot, window), schema), "hot")
+    place = F.struct("id", "row", "pos")
+    top = every.where("first").groupBy("h", "w").agg(F.min(place).alias("top"), F.count(F.lit(1)).alias("n"))
+    again = every.where("first").join(top.where("n > 1").drop("n"), ["h", "w"]).where(place != F.col("top"))
+    later = again.select("row", "pos").union(every.where("NOT first").select("row", "pos"))
+    return later.select("row", (F.col("pos") * (1 << 16) + window).alias("pos"))
+
+
 def shared_windows(text: np.ndarray, start: np.ndarray, size: np.ndarray, window: int):
     """(class, fragment, offset) of windows found at least twice in some fragments of a text."""
     symbols = np.ones(int(size.sum()) + len(size) + 1, np.int64)  # 1 parts fragments, 0 ends all
@@ -288,7 +357,12 @@ def _cutter(with_text: bool):
 
 
 def remove_repeats(
-    docs: DataFrame, doc_id: str = "doc_id", text: str = "text", window: int = WINDOW, with_text: bool = False
+    docs: DataFrame,
+    doc_id: str = "doc_id",
+    text: str = "text",
+    window: int = WINDOW,
+    with_text: bool = False,
+    hot: int = HOT,
 ) -> DataFrame:
     """One row per row of ``docs``: row, doc_id, n_bytes, n_removed, n_spans, spans (first and
     past-last bytes of the removed runs, flat), kept_sha256; with ``with_text`` also what is
@@ -299,8 +373,15 @@ def remove_repeats(
         buckets = bucket_count(rows)
         hits = scratch.write(repeated_anchors(rows, partial(byte_anchors, window), buckets), "hits")
         some = scratch.write(with_places(rows, hits, "hits").select("row", "id", "text", "hits"), "some")
-        found = some.mapInArrow(_fragments(window, buckets), FOUND)
-        later = found.repartition(buckets, "bucket").groupBy("bucket").applyInArrow(_judge(window), "row long, pos long")
+        found = scratch.write(some.mapInArrow(_fragments(window, buckets, min(SEEN, hot)), FOUND), "found")
+        counts = found.select("many").where("octet_length(many) > 0").mapInArrow(_counts, "h long, n long")
+        many = counts.groupBy("h").agg(F.sum("n").alias("n")).where(F.col("n") >= hot)
+        # At most one gram for every ``hot`` fragments.
+        grams = np.array([r["h"] for r in many.collect()], np.int64).view(np.uint64)
+        cold = found.mapInArrow(_without(grams), FOUND) if len(grams) else found
+        later = cold.repartition(buckets, "bucket").groupBy("bucket").applyInArrow(_judge(window), "row long, pos long")
+        if len(grams):
+            later = later.union(_hot_later(scratch, found, grams, window))
         later = scratch.write(later, "later")
         changed = with_places(some.drop("hits"), later, "packed").select("row", "id", "text", "packed")
         schema = "row long, n_removed long, spans array<long>, cut_sha string, text binary"
