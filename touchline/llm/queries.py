@@ -17,6 +17,7 @@ from touchline.llm import (
     suffix_dedup,
     tokens,
     toxicity,
+    variants,
     warc,
 )
 from touchline.session import fresh_dir
@@ -126,3 +127,9 @@ def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
     left = suffix_dedup.remove_repeats(_table(spark, sf_dir, "documents"))
     return left.select("doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256")
+
+
+@query("op11_spelling_variants")
+def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
+    counted = variants.words(_table(spark, sf_dir, "documents"), change=variants.drop_letters(31))
+    return variants.variants(counted)
