@@ -5,12 +5,13 @@ from __future__ import annotations
 from collections.abc import Callable
 
 import public_tokenizers
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from touchline.llm import (
     exact,
     jaccard,
     mixing,
+    negatives,
     packing,
     quality,
     substring,
@@ -133,3 +134,37 @@ def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
     counted = variants.words(_table(spark, sf_dir, "documents"), change=variants.drop_letters(31))
     return variants.variants(counted)
+
+
+@query(
+    "op13_hard_negatives",
+    """
+    WITH vectors AS (
+        SELECT vec_id AS id,
+               CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+               list_transform(embedding, lambda x: floor(256 * CAST(x AS DOUBLE))) AS q
+        FROM embeddings
+        WHERE vec_id IS NOT NULL AND label IS NOT NULL AND embedding IS NOT NULL
+          AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+    ), scores AS (
+        SELECT a.id AS anchor_id, a.label AS anchor_label, v.id, v.label,
+               CAST(list_inner_product(a.q, v.q) AS BIGINT) AS score
+        FROM vectors a JOIN vectors v ON a.id <> v.id
+        WHERE a.id % 100 = 0
+    ), positives AS (
+        SELECT anchor_id, anchor_label, id AS positive_id, score AS positive_score
+        FROM scores
+        WHERE label = anchor_label
+        QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, id) <= 5
+    )
+    SELECT p.anchor_id, p.positive_id,
+           CAST(row_number() OVER (PARTITION BY p.anchor_id, p.positive_id ORDER BY s.score DESC, s.id) AS INTEGER) AS rank,
+           s.id AS negative_id, p.positive_score, s.score AS negative_score
+    FROM positives p JOIN scores s ON s.anchor_id = p.anchor_id AND s.label <> p.anchor_label
+    WHERE 30 * p.positive_score <= 100 * s.score AND 100 * s.score <= 90 * p.positive_score
+    QUALIFY row_number() OVER (PARTITION BY p.anchor_id, p.positive_id ORDER BY s.score DESC, s.id) <= 10
+    """,
+)
+def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
+    moved = F.when(F.col("vec_id") % 7 == 0, (F.col("label").cast("long") + 1) % 10).otherwise(F.col("label"))
+    return negatives.mine(_table(spark, sf_dir, "embeddings"), F.col("vec_id") % 100 == 0, label=moved)
