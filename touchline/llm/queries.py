@@ -13,6 +13,7 @@ from touchline.llm import (
     mixing,
     negatives,
     packing,
+    personal,
     quality,
     substring,
     suffix_dedup,
@@ -168,3 +169,8 @@ def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
     moved = F.when(F.col("vec_id") % 7 == 0, (F.col("label").cast("long") + 1) % 10).otherwise(F.col("label"))
     return negatives.mine(_table(spark, sf_dir, "embeddings"), F.col("vec_id") % 100 == 0, label=moved)
+
+
+@query("op12_personal_data")
+def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return personal.find(_table(spark, sf_dir, "documents"))
