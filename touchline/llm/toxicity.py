@@ -108,7 +108,7 @@ def dictionaries(sample: DataFrame) -> tuple[bytes, bytes]:
     words = F.split("text", r"[\x20\x09-\x0D]+")
     paired = sample.select("toxic", words.alias("w")).select(
         "toxic",
-        F.explode(F.transform(F.sequence(F.lit(1), F.size("w") - 1), lambda i: F.struct(F.col("w")[i - 1].alias("a"), F.col("w")[i].alias("b")))).alias("p"),
+        F.explode(F.transform(F.slice("w", 2, F.size("w")), lambda b, i: F.struct(F.col("w")[i].alias("a"), b.alias("b")))).alias("p"),
     ).where(F.octet_length("p.b").between(2, 32))
     counted = paired.distinct().groupBy("p.b").agg(
         F.count(F.when(F.col("toxic") == 1, 1)).alias("t"), F.count(F.when(F.col("toxic") == 0, 1)).alias("o")
