@@ -19,7 +19,8 @@ def spark(tmp_path_factory):
 
 @pytest.fixture
 def wh(spark, tmp_path):
-    return Warehouse(spark, str(tmp_path / "warehouse"))
+    """A warehouse for fixtures that name parents nobody stored."""
+    return Warehouse(spark, str(tmp_path / "warehouse"), enforce=["not_null"])
 
 
 @pytest.fixture

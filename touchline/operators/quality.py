@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame, functions as F
 
@@ -40,6 +40,29 @@ def null_counts(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     return counts.unpivot([], list(columns), "column_name", "n_nulls")
 
 
+def with_violations(
+    df: DataFrame, required: Sequence[str], parents: Mapping[str, DataFrame], parent_key: str = "id"
+) -> DataFrame:
+    """Rows with ``violated``, the constraints each of them breaks, empty where it breaks none.
+
+    ``parents`` maps a referencing column to its parent table. Only the values a batch
+    holds are looked up: they are made distinct first, so a hot value is looked up once, and
+    the parent is cut to their range, which reaches its scan.
+    """
+    checks = [F.when(F.col(c).isNull(), F.lit(f"not_null {c}")) for c in required]
+    for k, (column, parent) in enumerate(parents.items()):
+        value = F.col(column).cast("long")
+        asked = df.where(F.col(column).isNotNull()).select(value.alias("_value")).distinct()
+        low, high = asked.agg(F.min("_value")).scalar(), asked.agg(F.max("_value")).scalar()
+        near = parent.select(F.col(parent_key).cast("long").alias("_value"))
+        near = near.where((F.col("_value") >= low) & (F.col("_value") <= high))
+        lost = anti(asked, near, ["_value"]).withColumnRenamed("_value", f"_lost{k}")
+        df = df.join(lost, value == F.col(f"_lost{k}"), "left")
+        checks.append(F.when(F.col(f"_lost{k}").isNotNull(), F.lit(f"foreign_key {column}")))
+    broken = F.array_compact(F.array(*checks)) if checks else F.array().cast("array<string>")
+    return df.withColumn("violated", broken).drop(*[f"_lost{k}" for k in range(len(parents))])
+
+
 def table_violations(df: DataFrame, table: Table, tables: dict[str, DataFrame]) -> DataFrame:
     """All declared checks of one table as ``(check, detail, n)``."""
     parts = []

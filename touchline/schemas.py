@@ -108,6 +108,16 @@ class Table:
         """Business columns, without the surrogate ``id``; all nullable on read."""
         return T.StructType.fromDDL(self.columns.replace("!", ""))
 
+    @property
+    def stored_by(self) -> list[str]:
+        """Columns whose values are folders of the table."""
+        return [c for c in ("season",) if c in self.schema.names]
+
+    @property
+    def indexed(self) -> set[str]:
+        """Columns whose range is kept per batch: the first of each key."""
+        return {keys[0] for keys in self.unique} | {"understat_game_id", "fpl_player_id"}
+
     @property
     def not_null(self) -> list[str]:
         return [c.split()[0].strip("`") for c in self.columns.split(",") if c.strip().endswith("!")]

@@ -7,15 +7,22 @@ from collections.abc import Sequence
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
+from touchline.commits import CommitLog
 from touchline.schemas import TABLES
 
 
 class Warehouse:
-    """Where the tables live. A table nobody has written yet reads as empty."""
+    """Where the tables live: folders of batches, visible once their commit stands in the log.
 
-    def __init__(self, spark: SparkSession, root: str):
+    A table nobody has written yet reads as empty. ``enforce`` names the declared constraints
+    that writers check besides unique keys.
+    """
+
+    def __init__(self, spark: SparkSession, root: str, enforce: Sequence[str] = ("not_null", "foreign_key")):
         self.spark = spark
         self.root = root.rstrip("/")
+        self.enforce = tuple(enforce)
+        self.log = CommitLog(spark, self.root)
 
     def path(self, table: str) -> str:
         return f"{self.root}/{table.replace('.', '/')}"
@@ -23,8 +30,19 @@ class Warehouse:
     def schema(self, table: str) -> T.StructType:
         return T.StructType([T.StructField("id", T.LongType()), *TABLES[table].schema.fields])
 
-    def read(self, table: str) -> DataFrame:
-        return read_or_empty(self.spark, self.path(table), self.schema(table))
+    def read(self, table: str, upto: int | None = None, near: tuple[str, object, object] | None = None) -> DataFrame:
+        """The table's committed rows, as of log entry ``upto``.
+
+        ``near`` is a (column, low, high): batches without a value in that range may be left
+        out. Tables with a season are stored by season, so a filter on it reads only that.
+        """
+        parts = [p for p in self.log.parts(table, upto) if p.rows and (near is None or p.may_hold(*near))]
+        schema = self.schema(table)
+        if not parts:
+            return empty(self.spark, schema)
+        root = self.path(table)
+        rows = self.spark.read.schema(schema).option("basePath", root).parquet(*[f"{root}/{p.folder}" for p in parts])
+        return rows.select(*schema.names)
 
 
 def read_or_empty(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
