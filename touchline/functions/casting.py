@@ -25,17 +25,41 @@ def lenient(df: DataFrame, types: Mapping[str, str]) -> tuple[DataFrame, DataFra
     return good, df.where(bad)
 
 
-def try_whole_number(text: Column) -> Column:
-    """Text as int; ``7.0`` counts as 7, anything else that is no whole number is NULL."""
-    number = text.try_cast("decimal(20, 6)")
-    return F.coalesce(text.try_cast("int"), F.when(number == F.floor(number), number.try_cast("int")))
+def try_whole_number(text: Column, ty: str = "int") -> Column:
+    """Text as a whole number; ``7.0`` counts as 7, anything else that is none is NULL."""
+    number = text.try_cast("decimal(25, 6)")
+    return F.coalesce(text.try_cast(ty), F.when(number == F.floor(number), number.try_cast(ty)))
 
 
-def whole_number(text: Column) -> Column:
-    """Text as int, failing on malformed text; NULL stays NULL."""
-    number = try_whole_number(text)
-    message = F.concat(F.lit("not a whole number: "), text)
-    return F.when(text.isNotNull() & number.isNull(), F.raise_error(message).cast("int")).otherwise(number)
+def _or_fail(text: Column, cast: Column, what: str, ty: str) -> Column:
+    failed = F.raise_error(F.concat(F.lit(f"{what}: "), text)).cast(ty)
+    return F.coalesce(cast, F.when(text.isNotNull(), failed))
+
+
+def whole_number(text: Column, ty: str = "int") -> Column:
+    """Text as a whole number, failing on malformed text; NULL stays NULL."""
+    return _or_fail(text, try_whole_number(text, ty), "not a whole number", ty)
+
+
+def try_typed(text: Column, ty: str) -> Column:
+    """Text of a payload field as a stored type, NULL where it is none."""
+    if ty in ("int", "bigint"):
+        return try_whole_number(text, ty)
+    return text if ty == "string" else text.try_cast(ty)
+
+
+def typed(text: Column, ty: str) -> Column:
+    """The same, failing on malformed text; NULL stays NULL."""
+    if ty in ("int", "bigint"):
+        return whole_number(text, ty)
+    return text if ty == "string" else _or_fail(text, text.try_cast(ty), f"not a valid {ty}", ty)
+
+
+def mistyped(text: Column, ty: str) -> Column:
+    """Whether text is there that is no value of the type; for text, a nested value."""
+    if ty == "string":
+        return text.rlike(r"^\s*[\[{]") & F.try_parse_json(text).isNotNull()
+    return text.isNotNull() & try_typed(text, ty).isNull()
 
 
 def text_key(value: Column) -> Column:

@@ -6,6 +6,8 @@ from collections.abc import Iterable, Mapping
 
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
+from touchline.functions.casting import try_typed, typed
+
 
 def prune(df: DataFrame, columns: Iterable[str]) -> DataFrame:
     """Keep the named columns, in that order."""
@@ -30,9 +32,13 @@ def stamp_run_id(df: DataFrame, run_id: str) -> DataFrame:
     return df.withColumn("run_id", F.lit(run_id).cast("string"))
 
 
-def mapped(mapping: Iterable[tuple[str, str, str]], prefix: str = "") -> list[Column]:
-    """Columns for a ``(source field, output column, type)`` list, cast strictly."""
-    return [F.col(f"{prefix}`{src}`").cast(ty).alias(dst) for src, dst, ty in mapping]
+def mapped(mapping: Iterable[tuple[str, str, str]], strictly: bool = True) -> list[Column]:
+    """Columns for a ``(source field, output column, type)`` list over fields held as text.
+
+    Malformed text fails the job, or is NULL unless ``strictly``.
+    """
+    cast = typed if strictly else try_typed
+    return [cast(F.col(f"`{src}`"), ty).alias(dst) for src, dst, ty in mapping]
 
 
 def project_mapping(df: DataFrame, mapping: Iterable[tuple[str, str, str]]) -> DataFrame:

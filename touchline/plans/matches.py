@@ -8,10 +8,10 @@ from touchline.functions.casting import lenient, strict
 from touchline.functions.status import fetch_status
 from touchline.functions.text import match_info
 from touchline.operators.filters import split_status
-from touchline.operators.joins import gaps, side_team
+from touchline.operators.joins import anti, gaps, semi, side_team
 from touchline.operators.marks import batch_counts, batch_id, candidate_ids, union_max
 from touchline.schemas import CHUNK_SIZE, LOOK_AHEAD, LOOK_BACK, ROSTER_MAPPING
-from touchline.sinks.writers import stage, write_pair
+from touchline.sinks.writers import Unit, add_pair, stage
 from touchline.sources.payloads import explode_rosters, with_match_info
 from touchline.sources.tables import Warehouse
 
@@ -93,19 +93,44 @@ def attempt(pages: DataFrame, rosters: DataFrame, mark: DataFrame) -> DataFrame:
     return classify(landed, rosters.where(near), (KEY, "batch_id"))
 
 
+def set_aside(ok: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(accepted matches, matches with a player whose numbers cannot be read).
+
+    A match is stored with all its players or not at all.
+    """
+    bad = player_rows_lenient(ok)[1].select(KEY).distinct()
+    return anti(ok, bad, [KEY]), semi(ok, bad, [KEY])
+
+
 def add_matches(
-    wh: Warehouse, pages: DataFrame, rosters: DataFrame, run_id: str
+    wh: Warehouse,
+    pages: DataFrame,
+    rosters: DataFrame,
+    run_id: str,
+    lenient: bool = False,
+    batch: str | None = None,
 ) -> dict[str, object]:
-    """Store the accepted matches around the mark and report on all candidates."""
+    """Store the accepted matches around the mark and report on all candidates.
+
+    A player's number that cannot be read fails the job; with ``lenient`` that match alone
+    is set aside, as ``bad_number`` among the rejects.
+    """
     attempted, _ = stage(attempt(pages, rosters, last_match(wh)), "matches")
     ok, failed = split_status(attempted)
+    failed = failed.select(KEY, "batch_id", "status")
+    if lenient:
+        ok, bad = set_aside(ok)
+        failed = failed.union(bad.select(KEY, "batch_id", F.lit("bad_number").alias("status")))
+        ok, _ = stage(ok, "accepted")
     players, _ = stage(player_rows(ok), "match-players")
-    written = write_pair(wh, games(ok), players, run_id, ["side_no", "pos"])
+    with Unit(wh, batch, lenient) as unit:
+        written = add_pair(unit, games(ok), players, run_id, ["side_no", "pos"])
     per_match = players.groupBy(KEY).agg(F.count(F.lit(1)).alias("n_players"))
-    report = batch_counts(attempted.join(per_match, KEY, "left"), players="n_players")
+    judged = ok.select(KEY, "batch_id", "status").union(failed)
+    report = batch_counts(judged.join(per_match, KEY, "left"), players="n_players")
     return {
-        **written,
+        **{f"{name}_{k}": v for name, out in written.items() for k, v in out.counts.items()},
         "batches": report,
-        "rejects": failed.select(KEY, "batch_id", "status"),
+        "rejects": failed,
         "missing": gaps(attempted.select(KEY), ok.select(KEY), KEY),
     }

@@ -12,7 +12,7 @@ from touchline.operators.filters import split_matched
 from touchline.operators.fuzzy import fuzzy_join
 from touchline.operators.joins import lookup_first
 from touchline.schemas import PLAYER_THRESHOLD
-from touchline.sinks.writers import insert_if_absent, stage
+from touchline.sinks.writers import Unit, stage
 from touchline.sources.tables import Warehouse
 
 
@@ -46,16 +46,14 @@ def resolve(
     )
 
 
-def add_players(wh: Warehouse, elements: DataFrame, run_date: date) -> dict[str, dict[str, int]]:
-    """Resolve and store one master payload."""
+def add_players(
+    wh: Warehouse, elements: DataFrame, run_date: date, batch: str | None = None
+) -> dict[str, dict[str, int]]:
+    """Resolve and store one master payload; both tables are written in one commit."""
     source, _ = stage(source_players(elements, run_date), "players")
     resolved, _ = stage(resolve(source, wh.read("staging.fpl_player_mapping"), ["id"]), "resolved")
     matched, unmatched = split_matched(resolved, "player_id")
-    return {
-        "mapped": insert_if_absent(
-            wh, "staging.fpl_player_mapping", matched, ["match_step", "pos"]
-        ),
-        "for_review": insert_if_absent(
-            wh, "raw.fpl_player_manual_review", unmatched, ["pos"]
-        ),
-    }
+    with Unit(wh, batch) as unit:
+        mapped = unit.insert_if_absent("staging.fpl_player_mapping", matched, ["match_step", "pos"])
+        review = unit.insert_if_absent("raw.fpl_player_manual_review", unmatched, ["pos"])
+    return {"mapped": mapped.counts, "for_review": review.counts}

@@ -12,7 +12,7 @@ from touchline.operators.fuzzy import fuzzy_join
 from touchline.operators.joins import left_by_name
 from touchline.operators.project import prune, rename
 from touchline.schemas import TEAM_THRESHOLD
-from touchline.sinks.writers import append_dense, insert_if_absent, insert_strict, stage
+from touchline.sinks.writers import Unit, stage
 from touchline.sources.tables import Warehouse
 
 
@@ -37,9 +37,9 @@ def resolve(
 
 
 def add_teams(
-    wh: Warehouse, teams: DataFrame, run_date: date, strict: bool = False
+    wh: Warehouse, teams: DataFrame, run_date: date, strict: bool = False, batch: str | None = None
 ) -> dict[str, int]:
-    """Resolve and store one team payload.
+    """Resolve and store one team payload; mappings and new teams are written in one commit.
 
     ``strict`` refuses a batch holding a (season, team) that is stored already.
     """
@@ -48,10 +48,10 @@ def add_teams(
     ).withColumn("season", season_label(F.lit(run_date)))
     resolved, _ = stage(found, "teams")
     matched, unmatched = split_matched(resolved, "team_id")
-    if strict:
-        mapped = insert_strict(wh, "staging.fpl_team_mapping", matched)
-    else:
-        done = insert_if_absent(wh, "staging.fpl_team_mapping", matched, ["team_id", "name"])
-        mapped = done["inserted"]
-    new = append_dense(wh, "analytics.teams", unmatched, ["fpl_team_id"])
-    return {"mapped": mapped, "new_teams": new}
+    with Unit(wh, batch) as unit:
+        if strict:
+            mapped = unit.insert_strict("staging.fpl_team_mapping", matched)
+        else:
+            mapped = unit.insert_if_absent("staging.fpl_team_mapping", matched, ["team_id", "name"])
+        new = unit.append("analytics.teams", unmatched)
+    return {"mapped": mapped.inserted, "new_teams": new.inserted}

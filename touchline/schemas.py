@@ -15,12 +15,23 @@ from pyspark.sql import types as T
 # Payload shapes and field names of the landed documents.
 # --------------------------------------------------------------------------
 
-PLAYERS_PAYLOAD = (
-    "elements array<struct<id:int, first_name:string, second_name:string,"
-    " code:bigint, element_type:int, team:int>>"
-)
+PLAYER_FIELDS = {
+    "id": "int",
+    "first_name": "string",
+    "second_name": "string",
+    "code": "bigint",
+    "element_type": "int",
+    "team": "int",
+}
+TEAM_FIELDS = {"id": "int", "name": "string"}
 
-TEAMS_PAYLOAD = "teams array<struct<id:int, name:string>>"
+
+def _list_of(name: str, fields: dict[str, str]) -> str:
+    return f"{name} array<struct<{', '.join(f'{f}:{ty}' for f, ty in fields.items())}>>"
+
+
+PLAYERS_PAYLOAD = _list_of("elements", PLAYER_FIELDS)
+TEAMS_PAYLOAD = _list_of("teams", TEAM_FIELDS)
 
 # (payload field, payload type, stored column, stored type)
 HISTORY_MAPPING: list[tuple[str, str, str, str]] = [
@@ -59,10 +70,7 @@ HISTORY_MAPPING: list[tuple[str, str, str, str]] = [
     ("starts", "int", "starts", "int"),
 ]
 
-# Every field is read as text, so that a malformed one is seen and not turned into NULL.
-_HISTORY_RECORD = ", ".join(f"{name}:string" for name, _, _, _ in HISTORY_MAPPING)
-HISTORY_WHOLE = [name for name, _, _, stored in HISTORY_MAPPING if stored == "int"]
-HISTORY_PAYLOAD = f"history array<struct<{_HISTORY_RECORD}>>"
+HISTORY_FIELDS = {name: stored for name, _, _, stored in HISTORY_MAPPING}
 
 MATCH_INFO = "league string, league_id string, team_h string, team_a string, date string"
 

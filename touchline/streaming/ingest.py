@@ -4,11 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Callable, Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from touchline.operators.filters import split_status
-from touchline.plans.matches import KEY, classify, games, player_rows
+from touchline.plans.matches import KEY, classify, games, player_rows, set_aside
 from touchline.schemas import MATCH_PAGE
 from touchline.sinks.planning import insert_absent
 from touchline.sinks.writers import stage, write_pair
@@ -59,12 +59,16 @@ def rejected_path(wh: Warehouse) -> str:
     return f"{wh.root}/rejected/understat_games"
 
 
-def ingest_matches(wh: Warehouse, source: DataFrame, run_id: str, checkpoint: str) -> StreamingQuery:
+def ingest_matches(
+    wh: Warehouse, source: DataFrame, run_id: str, checkpoint: str, lenient: bool = False
+) -> StreamingQuery:
     """Store matches as they land.
 
-    Each micro-batch writes games and players. If a batch is cut off and replayed, the
-    keys it stored before are skipped, so both tables end up the same. Matches that are
-    not accepted go to ``rejected_path`` with their status, one folder per run and batch.
+    Each micro-batch writes games and players in one commit, named by the stream and the
+    batch's number: a batch that is replayed after a crash is not written again. Matches
+    that are not accepted go to ``rejected_path`` with their status, one folder per run and
+    batch. A player's number that cannot be read stops the stream; with ``lenient`` that
+    match goes there too, as ``bad_number``, and a restart goes on.
     """
 
     def each(batch: DataFrame, number: int) -> None:
@@ -72,9 +76,13 @@ def ingest_matches(wh: Warehouse, source: DataFrame, run_id: str, checkpoint: st
         rosters = batch.select(KEY, "api_status", "api_json")
         done, n = stage(classify(pages, rosters), "stream")
         if n:
-            ok, rejects = split_status(done)
-            write_pair(wh, games(ok), player_rows(ok), run_id, ["side_no", "pos"])
-            folder = f"{rejected_path(wh)}/run_id={run_id}/batch={number}"
-            rejects.select(KEY, "status").write.mode("overwrite").parquet(folder)
+            ok, failed = split_status(done)
+            rejects = failed.select(KEY, "status")
+            if lenient:
+                ok, bad = set_aside(ok)
+                rejects = rejects.union(bad.select(KEY, F.lit("bad_number").alias("status")))
+            name = f"{checkpoint.rstrip('/')}#{number}"
+            write_pair(wh, games(ok), player_rows(ok), run_id, ["side_no", "pos"], name)
+            rejects.write.mode("overwrite").parquet(f"{rejected_path(wh)}/run_id={run_id}/batch={number}")
 
     return run_available(source, each, checkpoint)
