@@ -7,7 +7,7 @@ from importlib import import_module
 
 from pyspark.sql import DataFrame, SparkSession
 
-MODULES = ["sources", "sinks", "relational", "functions", "fuzzy", "jobs"]
+MODULES = ["sources", "sinks", "relational", "functions", "fuzzy", "jobs", "writes"]
 
 
 class Tables:

@@ -44,6 +44,15 @@ class Warehouse:
         rows = self.spark.read.schema(schema).option("basePath", root).parquet(*[f"{root}/{p.folder}" for p in parts])
         return rows.select(*schema.names)
 
+    def report(self) -> DataFrame:
+        """Rows ``inserted`` and in ``total`` per committed batch and table, from the log alone."""
+        rows = [
+            (e.batch, table, e.counts[f"{table} inserted"], e.counts[f"{table} total"])
+            for e in self.log.entries()
+            for table in e.parts
+        ]
+        return self.spark.createDataFrame(rows, "batch string, target string, inserted long, total long")
+
 
 def read_or_empty(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
     """The Parquet folder, or no rows while it does not exist."""
