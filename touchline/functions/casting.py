@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Callable, Mapping
 
 from pyspark.sql import Column, DataFrame, functions as F
 
@@ -25,20 +25,33 @@ def lenient(df: DataFrame, types: Mapping[str, str]) -> tuple[DataFrame, DataFra
     return good, df.where(bad)
 
 
+def _seldom(text: Column, rest: Callable[[Column], Column]) -> Column:
+    """``rest`` of a text that is not NULL, out of line.
+
+    A lambda is not inlined into the generated code. Two dozen casts with all their branches
+    inlined make a method too long to be compiled, which then runs three times as long.
+    """
+    return F.when(text.isNotNull(), F.element_at(F.transform(F.array(text), rest), 1))
+
+
+def _fraction_free(text: Column, ty: str) -> Column:
+    number = text.try_cast("decimal(25, 6)")
+    return F.when(number == F.floor(number), number.try_cast(ty))
+
+
 def try_whole_number(text: Column, ty: str = "int") -> Column:
     """Text as a whole number; ``7.0`` counts as 7, anything else that is none is NULL."""
-    number = text.try_cast("decimal(25, 6)")
-    return F.coalesce(text.try_cast(ty), F.when(number == F.floor(number), number.try_cast(ty)))
+    return F.coalesce(text.try_cast(ty), _seldom(text, lambda t: _fraction_free(t, ty)))
 
 
-def _or_fail(text: Column, cast: Column, what: str, ty: str) -> Column:
-    failed = F.raise_error(F.concat(F.lit(f"{what}: "), text)).cast(ty)
-    return F.coalesce(cast, F.when(text.isNotNull(), failed))
+def _or_fail(text: Column, what: str, ty: str, rest: Callable[[Column], Column]) -> Column:
+    failed = lambda t: F.raise_error(F.concat(F.lit(f"{what}: "), t)).cast(ty)
+    return F.coalesce(text.try_cast(ty), _seldom(text, lambda t: F.coalesce(rest(t), failed(t))))
 
 
 def whole_number(text: Column, ty: str = "int") -> Column:
     """Text as a whole number, failing on malformed text; NULL stays NULL."""
-    return _or_fail(text, try_whole_number(text, ty), "not a whole number", ty)
+    return _or_fail(text, "not a whole number", ty, lambda t: _fraction_free(t, ty))
 
 
 def try_typed(text: Column, ty: str) -> Column:
@@ -52,7 +65,7 @@ def typed(text: Column, ty: str) -> Column:
     """The same, failing on malformed text; NULL stays NULL."""
     if ty in ("int", "bigint"):
         return whole_number(text, ty)
-    return text if ty == "string" else _or_fail(text, text.try_cast(ty), f"not a valid {ty}", ty)
+    return text if ty == "string" else _or_fail(text, f"not a valid {ty}", ty, lambda t: t.try_cast(ty))
 
 
 def mistyped(text: Column, ty: str) -> Column:
