@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 import tempfile
 import uuid
 
@@ -103,6 +104,19 @@ class Scratch:
         df.write.parquet(self.path(name))
         return self.spark.read.schema(df.schema).parquet(self.path(name))
 
+    def drop(self, *names: str) -> None:
+        """Delete tables that nothing reads any more, and the shuffle files behind them.
+
+        Spark deletes a shuffle's files once the driver has collected the plan that made
+        them, which a driver with memory to spare puts off; so it is asked to collect now.
+        """
+        path = self.spark._jvm.org.apache.hadoop.fs.Path
+        files = path(self.root).getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration())
+        for name in names:
+            files.delete(path(self.path(name)), True)
+        gc.collect()
+        self.spark._jvm.System.gc()
+
     def publish(self, df: DataFrame) -> DataFrame:
         """Write a frame to a folder that outlives this one and read it back."""
         return materialise(df, self.purpose)
