@@ -226,21 +226,27 @@ def link(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", number: st
         deep = (F.size("tokens") > F.col("rare")).alias("deep")  # every rare token is in the prefix
         rest = (F.col("n") - F.size("tokens")).alias("rest")
         sizes = scratch.write(some.join(met, "row").select("row", "n", "ways", own, deep, rest), "sizes")
+        signed = scratch.write(signed.drop("ways", "rare", "tokens"), "sets")
+        texts = scratch.write(rows.select("row", "text").join(sizes.select("row"), "row", "left_semi"), "texts")
+        scratch.drop("signed", "copies", "tokens", "rows")
         size = lambda k: sizes.toDF(*[f"{c}_{k}" for c in sizes.columns]).withColumnRenamed(f"row_{k}", k)
         meet = shared.where("row <> lead").groupBy(F.col("row").alias("a"), F.col("lead").alias("b"))
         meet = meet.agg(F.count(F.lit(1)).alias("k"))
         near = F.least("n_a", "n_b") * 100 >= PERCENT * F.greatest("n_a", "n_b")
         near &= F.col("k") >= F.least("ways_a", "ways_b")
         near &= _reachable("n_a", "own_a", "n_b", "deep_b") & _reachable("n_b", "own_b", "n_a", "deep_a")
-        meet = meet.join(size("a"), "a").join(size("b"), "b").where(near).select("a", "b")
-        texts = scratch.write(rows.select("row", "text").join(sizes.select("row"), "row", "left_semi"), "texts")
+        meet = scratch.write(meet.join(size("a"), "a").join(size("b"), "b").where(near).select("a", "b"), "meet")
+        scratch.drop()
         edges = scratch.write(_verified(meet, texts), "edges-1")
+        scratch.drop("meet")
         found = components(scratch, edges, "first")
         at = shared.drop("lead", "few").join(found.toDF("row", "c"), "row", "left").withColumn("c", F.coalesce("c", "row"))
         at = scratch.write(at.join(sizes, "row"), "placed")
+        scratch.drop("shared")
         mixed = at.groupBy("h").agg(F.min("c").alias("l"), F.max("c").alias("m")).where("l <> m").select("h")
         mixed = scratch.write(mixed, "mixed")
         still = scratch.write(at.join(mixed, "h", "left_semi"), "open")
+        scratch.drop("placed", "mixed")
         x, y = still.alias("x"), still.alias("y")
         apart = F.col("x.h") == F.col("y.h")
         apart &= (F.col("x.c") != F.col("y.c")) & (F.col("x.n") <= F.col("y.n")) & (F.col("x.n") * 100 >= PERCENT * F.col("y.n"))
@@ -253,7 +259,9 @@ def link(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", number: st
         # All that two sets share up to the end of one prefix is in both: k tokens, and the rest of that set.
         enough = (F.col("k") + F.col("rest")) * (100 + PERCENT) >= F.col("n") * PERCENT
         again = scratch.write(again.where((F.col("k") >= F.col("need")) & enough).select("a", "b"), "again")
+        scratch.drop("open")
         more = scratch.write(_verified(again, texts), "edges-2")
+        scratch.drop("texts", "again")
         if not more.isEmpty():
             found = components(scratch, edges.union(more), "second")
         joined = classes.join(found.toDF("rep", "c"), "rep", "left").withColumn("c", F.coalesce("c", "rep"))
