@@ -26,7 +26,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, functions as F, Window
 
 from touchline.llm.text import whole_text
-from touchline.llm.tokens import Encoder, texts
+from touchline.llm.tokens import encoder, texts
 from touchline.session import Scratch
 
 WINDOW = 2048
@@ -40,7 +40,7 @@ PIECES = (
 
 def _cutter(tokenizer: str, end: int, window: int, with_ids: bool):
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode, part = Encoder(tokenizer, end), TaskContext.get().partitionId()
+        encode, part = encoder(tokenizer, end), TaskContext.get().partitionId()
         seen = np.zeros(window + 1, np.int64)
         for batch in batches:
             for row, some in texts(batch, 1):

@@ -38,10 +38,19 @@ from touchline.session import fresh_dir
 REMEMBERED = 1_000_000
 
 
-def _odd(text: str) -> bool:
-    """Whether white space stands at an end or next to other white space."""
-    words = text.split()
-    return len("".join(words)) + len(words) - 1 != len(text)
+def _plain(piece: str) -> bool:
+    """Whether a piece, but for a line break it may begin with, is one word without white space."""
+    word = piece[1:] if piece[:1] == "\n" else piece
+    return word.split() == [word]
+
+
+def _odd(pieces: list[str]) -> set[str]:
+    """Those of the pieces that are not plain; as a rule there are none."""
+    line = (" " + " ".join(pieces)).replace(" \n", " ")[1:]
+    words = line.split()
+    if len(words) == len(pieces) and " ".join(words) == line:
+        return set()
+    return {p for p in pieces if not _plain(p)}
 
 
 @lru_cache(maxsize=2)
@@ -62,7 +71,8 @@ class Encoder:
     def __init__(self, path: str, end: int):
         self.tokenizer = _tokenizer(path)
         self.end = _packed([end])
-        self.known: dict[str, bytes] = {}
+        self.known: dict[str, bytes] = {}  # a piece as it stands after a blank, or with its line break
+        self.first: dict[str, bytes] = {}  # a piece as it stands at the beginning
         vocabulary = self.tokenizer.get_vocab(with_added_tokens=True)
         self.size = np.zeros(max(vocabulary.values()) + 1, np.int64)  # bytes of text behind an id
         for token, i in vocabulary.items():
@@ -74,8 +84,9 @@ class Encoder:
         made = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
         return [_packed(e.ids) for e in made]
 
-    def _learn(self, pieces: list[str]) -> None:
+    def _learn(self, words: list[str]) -> None:
         """Encode new pieces as one text and part its ids by the bytes they stand for."""
+        pieces = [w if w[0] == "\n" else " " + w for w in words]
         joined = "".join(pieces)
         if self.tokenizer.normalizer:  # here white space is dropped
             plain = self.tokenizer.normalizer.normalize_str(joined).split(" ")[1:]
@@ -87,30 +98,46 @@ class Encoder:
         cuts = np.searchsorted(reached, ends) + 1
         if len(plain) == len(pieces) and cuts[-1] == len(ids) and (reached[cuts - 1] == ends).all():
             raw, cuts = ids.tobytes(), (cuts * 4).tolist()
-            self.known.update((p, raw[i:j]) for p, i, j in zip(pieces, [0, *cuts], cuts))
+            self.known.update((p, raw[i:j]) for p, i, j in zip(words, [0, *cuts], cuts))
         else:
-            self.known.update(zip(pieces, self._whole(pieces)))
+            self.known.update(zip(words, self._whole(pieces)))
 
     def many(self, texts: list[str]) -> list[bytes]:
-        parts, whole = [], []
-        for text in texts:
-            if not text or _odd(text):
-                whole.append(text)
-                parts.append(None)
-            else:
-                first, *rest = text.replace("\n", " \n").split(" ")
-                parts.append((first, [p if p[0] == "\n" else " " + p for p in rest]))
-        if len(self.known) > REMEMBERED:
+        """Ids of each text. Texts of words parted by one blank or line break each are put
+        together from pieces encoded once; all others are encoded whole."""
+        if len(self.known) > REMEMBERED or len(self.first) > REMEMBERED:
             self.known.clear()
-        new = set().union(*(p[1] for p in parts if p)).difference(self.known)
+            self.first.clear()
+        parts = [text.replace("\n", " \n").split(" ") for text in texts]
+        new = set().union(*(p[1:] for p in parts)).difference(self.known)
+        odd = _odd(list(new))
+        if odd:
+            joined = [i for i, p in enumerate(parts) if _plain(p[0]) and odd.isdisjoint(p[1:])]
+            new = set().union(*(parts[i][1:] for i in joined)).difference(self.known)
+        else:
+            joined = [i for i, p in enumerate(parts) if p[0] in self.first or _plain(p[0])]
         if new:
             self._learn(list(new))
-        of, firsts, others = self.known.__getitem__, [p[0] for p in parts if p], iter(self._whole(whole))
-        begun = iter(self._whole(firsts))
-        return [
-            b"".join([next(begun), *map(of, p[1]), self.end]) if p else next(others) + self.end
-            for p in parts
-        ]
+        begin = list({parts[i][0] for i in joined}.difference(self.first))
+        there = set(joined)
+        whole = [i for i in range(len(texts)) if i not in there]
+        if begin or whole:
+            made = self._whole([*begin, *(texts[i] for i in whole)])
+            self.first.update(zip(begin, made))
+        out: list[bytes] = [b""] * len(texts)
+        for i, raw in zip(whole, made[len(begin) :] if whole else ()):
+            out[i] = raw + self.end
+        of = self.known.__getitem__
+        for i in joined:
+            words = parts[i]
+            out[i] = b"".join([self.first[words[0]], *map(of, words[1:]), self.end])
+        return out
+
+
+@lru_cache(maxsize=2)
+def encoder(path: str, end: int) -> Encoder:
+    """The encoder of this process: tasks that a worker runs one after another share its pieces."""
+    return Encoder(path, end)
 
 
 def vocabulary_size(path: str) -> int:
@@ -142,7 +169,7 @@ def read_flat(folder: str, name: str, dtype: str) -> np.ndarray:
 def _shard_writer(folder: str, tokenizer: str, end: int, width: str):
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         files, path = open_folder(folder)
-        encode, name = Encoder(tokenizer, end), uuid.uuid4().hex
+        encode, name = encoder(tokenizer, end), uuid.uuid4().hex
         lengths, ids, first = [], [], None
         with files.open_output_stream(f"{path}/{name}.ids") as out:
             for batch in batches:
@@ -187,6 +214,12 @@ def _index_writer(folder: str):
     return write
 
 
+def _dealt(shards: DataFrame) -> DataFrame:
+    """Rows that each stand for a file, over many tasks. A given number is not merged for being small."""
+    n = int(shards.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return shards.repartition(n, "part")
+
+
 MANIFEST = "part int, name string, documents long, ids long"
 
 
@@ -211,7 +244,7 @@ def write_token_files(
     # One row per shard: the prefix sum is over the parts, not the documents.
     before = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
     based = shards.withColumn("base", F.coalesce(F.sum("ids").over(before), F.lit(0)))
-    based = based.withColumn("width", F.lit(width)).repartition("part")
+    based = _dealt(based.withColumn("width", F.lit(width)))
     based.mapInArrow(_index_writer(folder), based.schema).write.parquet(f"{folder}/index")
     return docs.sparkSession.read.schema(based.schema).parquet(f"{folder}/index")
 
@@ -244,7 +277,7 @@ def _reader(folder: str):
 def read_token_files(manifest: DataFrame, folder: str) -> DataFrame:
     """One row per document of the shards: doc_id, start, n_tokens, ids_crc32."""
     schema = "doc_id long, start long, n_tokens long, ids_crc32 long"
-    return manifest.repartition("part").mapInArrow(_reader(folder), schema)
+    return _dealt(manifest).mapInArrow(_reader(folder), schema)
 
 
 def token_folder(spark: SparkSession) -> str:
