@@ -6,12 +6,13 @@ cap. The solution is an exponential tilt, ``min(cap, exp(lambda * size / mean si
 with one multiplier per source; the multipliers solve the convex dual, one Newton step per
 distributed pass, with bounds to fall back on. Rates become whole copies: the integer part
 of the rate, and one more for the documents that come first by ``u / fraction``, u being a
-hash of the id (sequential Poisson rounding), up to the point where the source's words
-meet its target. That point is found by counting words in bins, two passes deep.
+hash of the id (sequential Poisson rounding), up to the one that would cross the source's
+target. That point is found by counting words in bins, two passes deep. The document that
+crosses is passed over, and the next round goes on with those that still fit.
 
 All sums are of integers (rates in units of 2^-20), so reruns agree to the last bit
 whatever the order of the rows. Sources are the groups of the mix; their list (not their
-documents) is held by the driver.
+documents) is held by the driver, so there may be at most ``SOURCES`` of them, else an error.
 
 A null text has size 0; a null source is a source; documents of size 0 keep rate 1 and
 take nothing; rows that agree in id and size get the same copies; an empty table gives
@@ -23,7 +24,7 @@ from __future__ import annotations
 import math
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from touchline.llm.text import WORD, numbered, whole_text, with_row
 from touchline.session import Scratch
@@ -32,6 +33,8 @@ CAP = 3
 STEPS = 40
 UNIT = 1 << 20
 BINS = 4096
+ROUNDS = 12  # of taking documents that still fit
+SOURCES = 10_000  # the lists that are broadcast and held by the driver are no longer
 
 
 def word_count(text: str) -> Column:
@@ -56,6 +59,11 @@ def share_out(sizes: Sequence[int], weights: Sequence[float], cap: float = CAP)
     return target
 
 
+def _listed(spark: SparkSession, rows: list[tuple], schema: str) -> DataFrame:
+    """A row per source, at most ``SOURCES``: broadcast, so the documents stay where they are."""
+    return F.broadcast(spark.createDataFrame(rows, schema))
+
+
 def _big(column: Column) -> Column:
     return F.sum(column.cast("decimal(38,0)"))
 
@@ -78,9 +86,7 @@ def _solve(scratch: Scratch, counted: DataFrame, sources: list[dict], cap: float
     for _ in range(STEPS):
         if not moving:
             return
-        now = spark.createDataFrame(
-            [(s["no"], s["tilt"], s["mean"]) for s in moving], "no int, tilt double, mean double"
-        )
+        now = _listed(spark, [(s["no"], s["tilt"], s["mean"]) for s in moving], "no int, tilt double, mean double")
         rate = _rate(F.col("tilt"), F.col("size"), F.col("mean"), cap)
         words = F.col("n").cast("decimal(20,0)") * F.col("size")
         free = F.when(F.col("rate") < int(cap * UNIT), F.col("rate"))
@@ -113,33 +119,77 @@ def _bin(value: Column, low: Column, width: Column) -> Column:
     return F.greatest(F.lit(0), F.least(F.lit(BINS), F.floor((value - low) / width))).cast("int")
 
 
-def _thresholds(scratch: Scratch, extra: DataFrame, sources: list[dict]) -> None:
-    """Set each source's ``cut``: documents below it get their further copy."""
-    spark, top = scratch.spark, 4.0
+def _cuts(spark: SparkSession, extra: DataFrame, sources: list[dict]) -> None:
+    """One round: set each source's ``cut``, up to which its candidates fit into its ``need``.
+
+    Candidates are taken by ``v``; the first one that crosses the need ends the round.
+    """
+    top = 4.0
     for s in sources:
-        s["cut"], s["low"], s["width"] = 0.0, 0.0, top / BINS
+        s["low"], s["width"], s["left"], s["cut"] = 0.0, top / BINS, s["need"], top
     for _ in range(2):
-        now = spark.createDataFrame(
-            [(s["no"], s["low"], s["width"]) for s in sources], "no int, low double, width double"
-        )
+        now = _listed(spark, [(s["no"], s["low"], s["width"]) for s in sources], "no int, low double, width double")
         place = _bin(F.col("v"), F.col("low"), F.col("width"))
         bins = extra.join(now, "no").where("v >= low").groupBy("no", place.alias("bin"))
         words: dict[int, dict[int, int]] = {}
         for r in bins.agg(F.sum("size").alias("words")).collect():  # BINS rows per source
             words.setdefault(r["no"], {})[r["bin"]] = int(r["words"])
         for s in sources:
-            left, at = s["need"], 0
-            found = words.get(s["no"], {})
-            while at < BINS and found.get(at, 0) <= left:
-                left -= found.get(at, 0)
+            at, found = 0, words.get(s["no"], {})
+            while at < BINS and found.get(at, 0) <= s["left"]:
+                s["left"] -= found.get(at, 0)
                 at += 1
-            s["need"], s["low"] = left, s["low"] + at * s["width"]
-            s["last"] = found.get(at, 0) if at < BINS else 0
+            s["low"] += at * s["width"]
             s["width"] /= BINS
     for s in sources:
-        # The bin that crosses the target is taken if that comes nearer to it.
-        nearer = s["last"] > 0 and 2 * s["need"] >= s["last"]
-        s["cut"] = s["low"] + (s["width"] * BINS if nearer else 0.0)
+        s["cut"] = s["low"]
+
+
+def _round_off(scratch: Scratch, rated: DataFrame, sources: list[dict]) -> None:
+    """Set each source's ``rules``: (largest size, cut) pairs; a document under one is taken once more.
+
+    A round ends at the document that crosses the need; the next one passes it over and
+    goes on with those that still fit, until nothing does. At last the smallest document left is
+    taken if that comes nearer to the target.
+    """
+    spark = scratch.spark
+    extra = rated.where("v IS NOT NULL").select("no", "size", "v")
+    for s in sources:
+        s["rules"] = []
+    going, limit = list(sources), {s["no"]: float("inf") for s in sources}
+    for _ in range(ROUNDS):
+        if not going:
+            break
+        fits = F.col("size") <= F.col("most")
+        most = _listed(spark, [(s["no"], limit[s["no"]]) for s in going], "no int, most double")
+        _cuts(spark, _untaken(extra, sources).join(most, "no").where(fits).drop("most"), going)
+        still = []
+        for s in going:
+            moved = s["need"] - s["left"]
+            first = limit[s["no"]] == float("inf")
+            s["rules"].append((limit[s["no"]], s["cut"]))
+            s["need"] = limit[s["no"]] = s["left"]
+            if s["need"] >= 1 and (moved > 0 or first):
+                still.append(s)
+        going = still
+    left = _untaken(extra, sources).groupBy("no", "size", "v").agg(F.count(F.lit(1)).alias("n"))
+    least = left.groupBy("no").agg(F.min(F.struct(F.col("size") * F.col("n"), "v", "size")).alias("least"))
+    found = {r["no"]: r["least"] for r in least.collect()}  # a row per source
+    for s in sources:
+        if s["no"] in found and 2 * s["need"] > found[s["no"]][0]:
+            s["rules"].append((float(found[s["no"]]["size"]), math.nextafter(found[s["no"]]["v"], 9.0)))
+
+
+def _taken(rated: DataFrame, sources: list[dict]) -> DataFrame:
+    """Rows with ``again``: whether a rule of their source takes them once more."""
+    rules = [(s["no"], s["rules"]) for s in sources]
+    listed = _listed(rated.sparkSession, rules, "no int, rules array<struct<most:double, cut:double>>")
+    meets = F.exists("rules", lambda r: (F.col("size") <= r["most"]) & (F.col("v") < r["cut"]))
+    return rated.join(listed, "no").withColumn("again", F.coalesce(meets, F.lit(False))).drop("rules")
+
+
+def _untaken(extra: DataFrame, sources: list[dict]) -> DataFrame:
+    return _taken(extra, sources).where("NOT again").drop("again")
 
 
 def mix(
@@ -158,12 +208,16 @@ def mix(
         sized = with_row(docs, number, doc_id=doc_id, source=source, size=word_count(text))
         sized = scratch.write(sized, "sized")
         totals = sized.groupBy("source").agg(F.sum("size").alias("size"), F.count(F.lit(1)).alias("n"))
-        listed = sorted(totals.collect(), key=lambda r: (r["source"] is None, r["source"] or ""))
+        found = totals.limit(SOURCES + 1).collect()
+        if len(found) > SOURCES:
+            raise ValueError(f"a mix has at most {SOURCES} sources")
+        listed = sorted(found, key=lambda r: (r["source"] is None, r["source"] or ""))
         sources = [{"no": i, "source": r["source"], "size": r["size"], "n": r["n"]} for i, r in enumerate(listed)]
         shares = [weights[i % len(weights)] for i in range(len(sources))]
         for s, target in zip(sources, share_out([s["size"] for s in sources], shares, cap)):
             s["target"], s["mean"] = target, max(1.0, s["size"] / s["n"])
-        of = spark.createDataFrame(
+        of = _listed(
+            spark,
             [(s["no"], s["source"], s["mean"], s["size"], s["target"]) for s in sources],
             "no int, source string, mean double, source_size long, target double",
         )
@@ -172,7 +226,7 @@ def mix(
             named.where("size > 0").groupBy("no", "size").agg(F.count(F.lit(1)).alias("n")), "counted"
         )
         _solve(scratch, counted, sources, cap)
-        tilts = spark.createDataFrame([(s["no"], s["tilt"]) for s in sources], "no int, tilt double")
+        tilts = _listed(spark, [(s["no"], s["tilt"]) for s in sources], "no int, tilt double")
         rated = named.join(tilts, "no").withColumn("rate", _rate(F.col("tilt"), F.col("size"), F.col("mean"), cap))
         part = F.col("rate") % UNIT
         u = (F.xxhash64("doc_id", "size").bitwiseAND((1 << 53) - 1) + 1) / float(1 << 53)
@@ -182,10 +236,8 @@ def mix(
         given = {r["no"]: r["words"] for r in given}
         for s in sources:
             s["need"] = max(0.0, s["target"] - given.get(s["no"], 0))
-        _thresholds(scratch, rated.where("v IS NOT NULL").select("no", "size", "v"), sources)
-        cuts = spark.createDataFrame([(s["no"], s["cut"]) for s in sources], "no int, cut double")
-        more = F.coalesce((F.col("v") < F.col("cut")).cast("int"), F.lit(0))
-        mixed = rated.join(cuts, "no").withColumn("copies", F.col("base") + more)
+        _round_off(scratch, rated, sources)
+        mixed = _taken(rated, sources).withColumn("copies", F.col("base") + F.col("again").cast("int"))
         return scratch.publish(
             mixed.select(
                 "row",

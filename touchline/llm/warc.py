@@ -293,7 +293,8 @@ def reassemble(segments: DataFrame) -> DataFrame:
 def read_archives(names: DataFrame, folder: str, with_payload: bool = False) -> DataFrame:
     """One row per page of the archives: page_id, payload_bytes, payload_digest,
     record_type, refers_to, and with ``with_payload`` the payload of responses."""
-    spread = names.repartition("name")
+    # With a given number, the few rows that each stand for an archive are not merged into one task.
+    spread = names.repartition(int(names.sparkSession.conf.get("spark.sql.shuffle.partitions")), "name")
     read = spread.mapInArrow(_archive_reader(folder), _SEGMENT)
     columns = ["kind", "uri", "digest", "payload_length", "refers_to", "block"]
     single = read.where("number IS NULL").select(*columns)
