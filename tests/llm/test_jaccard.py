@@ -91,7 +91,7 @@ def test_group_around_a_middle(docs, monkeypatch):
         for _ in range(rng.choice([1, 2, 3, 4, 5])):
             words[rng.randrange(len(words))] = f"u{rng.randrange(400)}"
         rows.append((i, " ".join(words)))
-    cells = np.bincount(np.concatenate([jaccard.shingle_sets(*_bytes(t))[1] >> np.uint64(44) for _, t in rows]).astype(int), minlength=jaccard.CELLS)
+    cells = np.bincount(np.concatenate([jaccard._cell(jaccard.shingle_sets(*_bytes(t))[1]) for _, t in rows]), minlength=jaccard.CELLS)
     monkeypatch.setattr(jaccard, "frequencies", lambda _: np.where(cells > 8, cells, 0).astype(float))
     got = sorted((r.doc_id, r.n_shingles, r.component_id) for r in jaccard.link(docs(rows)).collect())
     assert got == brute(rows) and len({c for _, _, c in got}) > 2

@@ -39,7 +39,8 @@ from touchline.session import Scratch
 SHINGLE = 5
 PERCENT = 80
 PASSAGES = 1.0  # candidates by passages too rare for the sketch, assumed of each document
-CELLS, SLICES, FAN = 1 << 20, 16, 64
+CELL_BITS, SLICES, FAN = 22, 64, 64
+CELLS = 1 << CELL_BITS
 
 _SALT = np.random.default_rng(77).integers(0, 2**64, SHINGLE, dtype=np.uint64)
 
@@ -64,6 +65,10 @@ def shingle_sets(data: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarr
     return doc[new], h[new]
 
 
+def _cell(h: np.ndarray) -> np.ndarray:
+    return (h >> np.uint64(64 - CELL_BITS)).astype(np.int64)
+
+
 def _counter(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     cells, part = np.zeros(CELLS, np.int64), 0
     for batch in batches:
@@ -72,7 +77,7 @@ def _counter(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for first, last in runs(at, 1 << 20):
             span = at[first : last + 1]
             _, h = shingle_sets(data[span[0] : span[-1]], span - span[0])
-            cells += np.bincount((h >> np.uint64(44)).astype(np.int64), minlength=CELLS)
+            np.add.at(cells, _cell(h), 1)
     yield _slices(list(range(SLICES)), part, cells)
 
 
@@ -101,18 +106,19 @@ def frequencies(texts: DataFrame) -> np.ndarray:
         sketches = sketches.groupBy("slice", "fan").applyInArrow(_add, schema).withColumn("fan", F.lit(0))
     parts = {r["slice"]: bytes(r["cells"]) for r in sketches.collect()}  # SLICES rows
     if not parts:
-        return np.zeros(CELLS)
+        return np.zeros(CELLS, np.float32)
     half = 4 * CELLS // SLICES
     cells = np.concatenate([np.frombuffer(parts[i], "<u4" if len(parts[i]) == half else "<i8") for i in range(SLICES)])
     usual = np.median(cells)
     above = cells - usual
-    return np.where(above > 6 * np.sqrt(usual) + 8, above, 0.0)
+    # A cell holds the tokens of chance, of which some are more; what stands out is frequent.
+    return np.where(above > 4 * np.sqrt(usual) + 4, above, 0.0).astype(np.float32)
 
 
 def prefix(h: np.ndarray, above: np.ndarray) -> tuple[int, int, np.ndarray]:
     """(l, how many tokens of the l-prefix are not frequent, these and then the frequent ones) of one set."""
     n = len(h)
-    extra = above[(h >> np.uint64(44)).astype(np.int64)]
+    extra = above[_cell(h)]
     order = np.lexsort((h, np.where(extra > 0, np.log2(extra + 1).astype(np.int64) + 1, 0)))
     base = n - -(-PERCENT * n // 100)
     cost = np.cumsum(extra[order])
