@@ -1,16 +1,23 @@
 """Quality rules as weak supervision.
 
-Each rule votes good, bad, or abstains on a document. Nobody says which rule is right:
-expectation maximisation over all documents estimates how often each rule is right, and a
-document is kept if its posterior probability of being good is at least one half; so it
-goes for a fault that plain prose does not show, and stays for one that prose shows too.
-Documents matter to the estimate only by their pattern of votes, and there are at most 3 to the number of rules
-of those, so one count by pattern is all that leaves the executors.
+Each rule looks at one share of a text and votes bad above one bound, good below another,
+and abstains in between. Nobody says which rule is right: a document is either good or has
+one of a few kinds of fault, and expectation maximisation over all documents estimates how
+frequent each is and how each rule votes on it. A document is kept if its posterior
+probability of being good is at least one half; so a bad vote that good documents get as
+well, while all rules beside it vote good, does not reject it.
+
+The start, that the rules of a fault vote bad on it and good elsewhere, stays as a prior of
+``PRIOR`` documents of each kind, whatever the size of the table: enough to keep the kinds apart
+where there is nothing to learn from, and outweighed by a few dozen documents. Documents matter
+to the estimate only by their pattern of votes, and there are at most 3 to the number of
+rules of those, so one count by pattern is all that leaves the executors.
 
 The base rules are not voted on: under 50 words, or more than half of the words in
 repeated three-word windows, is a rejection. A null or empty text has no words and fails.
 Every row gets its own result, whatever its id or however often it is repeated; an empty
-table gives no rows.
+table gives no rows. Texts may be of any length. Only the named columns are read, so other
+columns may have any name.
 """
 
 from __future__ import annotations
@@ -34,7 +41,7 @@ _NOT_CHARS = SPACES + bytes(range(0x80, 0xC0))
 
 MEASURES = [
     "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
-    "n_lines", "n_upper", "n_lower", "n_marks", "n_distinct",
+    "n_lines", "n_upper", "n_lower", "n_marks", "n_distinct", "n_symbol_lines",
 ]
 
 
@@ -71,6 +78,7 @@ def measure(text: bytes) -> tuple[int, ...]:
         n - _without(text, _LOWER),
         text.count(b"!") + text.count(b"?"),
         len(set(words)),
+        sum(_without(line, _SYMBOLS) < len(line) for line in lines),
     )
 
 
@@ -79,34 +87,28 @@ def _share(part: np.ndarray, whole: np.ndarray) -> np.ndarray:
 
 
 def votes(m: dict[str, np.ndarray]) -> np.ndarray:
-    """Votes of all rules: 1 good, -1 bad, 0 none. One row per document.
-
-    A rule that looks for a fault votes bad on finding it and is silent otherwise, as
-    not having one fault says little; the last rule votes good on plain prose.
-    """
-    words, letters = m["n_words"], m["n_upper"] + m["n_lower"]
-    mean = _share(m["word_chars"], words)
-    faults = [
-        words < MIN_WORDS,
-        (mean < 2.5) | (mean > 12),
-        _share(m["n_symbols"], words) >= 0.1,
-        _share(m["n_dup_lines"], m["n_lines"]) >= 0.4,
-        _share(m["n_repeat_words"], words) >= 0.25,
-        _share(m["n_upper"], letters) >= 0.3,
-        _share(m["n_marks"], words) >= 0.3,
+    """Votes of all rules: 1 good, -1 bad, 0 none. One row per document."""
+    words, lines, letters = m["n_words"], m["n_lines"], m["n_upper"] + m["n_lower"]
+    # (share, votes good up to, votes bad from)
+    rules = [
+        (_share(m["n_symbols"], words), 0.01, 0.1),
+        (_share(m["n_symbols"], m["word_chars"]), 0.003, 0.02),
+        (_share(m["n_symbol_lines"], lines), 0.1, 0.5),
+        (_share(m["n_dup_lines"], lines), 0.05, 0.4),
+        (_share(m["n_repeat_words"], words), 0.1, 0.25),
+        (1 - _share(m["n_distinct"], words), 0.65, 0.8),
+        (_share(m["n_upper"], letters), 0.08, 0.3),
+        (_share(m["n_marks"], words), 0.05, 0.3),
+        (np.abs(_share(m["word_chars"], words) - 6), 2.0, 3.5),
     ]
-    prose = (
-        (words >= MIN_WORDS)
-        & (_share(m["n_symbols"], words) <= 0.02)
-        & (_share(m["n_repeat_words"], words) <= 0.2)
-        & (_share(m["n_upper"], letters) <= 0.15)
-        & (_share(m["n_marks"], words) <= 0.1)
-    )
-    return np.stack([*(np.where(f, -1, 0) for f in faults), np.where(prose, 1, 0)], axis=1)
+    return np.stack([np.where(x >= bad, -1, np.where(x <= good, 1, 0)) for x, good, bad in rules], axis=1)
 
 
-RULES = 8
-GOOD, RIGHT = 0.65, 0.9
+RULES = 9
+FAULTS = [[0, 1, 2], [3, 4, 5], [6, 7, 8]]  # rules of symbols, of repetition, of the shape of words
+PRIOR = 10  # documents that the start counts for, of each kind
+GOOD, FAULT = 0.85, 0.05  # shares at the start
+SOUND, FAULTY = (0.05, 0.15, 0.8), (0.6, 0.2, 0.2)  # votes bad, none, good at the start
 
 
 def _measurer(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -124,25 +126,30 @@ def _measurer(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             )
 
 
-def estimate(patterns: np.ndarray, n: np.ndarray, rounds: int = 500) -> tuple[np.ndarray, np.ndarray]:
-    """Posterior probability of good for each pattern of votes, and each rule's accuracy.
+def estimate(patterns: np.ndarray, n: np.ndarray, rounds: int = 500) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(posterior of good by pattern, share of each kind, votes of each rule by kind).
 
-    A rule that votes is right with its accuracy, whatever the others vote; beforehand a
-    document is good with probability ``GOOD``. The start, that each is right nine times in
-    ten, stays as a prior of the weight of the rule's
-    own votes: rules that never meet keep it, and one at odds with surer ones loses.
+    Kinds are good, then ``FAULTS``; votes are shares of bad, none and good. Given a document's
+    kind, the rules vote independently of each other.
     """
-    v = patterns[:, None] // 3 ** np.arange(RULES) % 3 - 1
-    right, p = np.full(RULES, RIGHT), np.full(len(n), GOOD)
-    before = np.log(GOOD) - np.log(1 - GOOD)
+    v = patterns[:, None] // 3 ** np.arange(RULES) % 3
+    seen = (v[:, :, None] == np.arange(3)).astype(float)
+    start = np.tile(np.array(SOUND), (1 + len(FAULTS), RULES, 1))
+    for kind, rules in enumerate(FAULTS, 1):
+        start[kind, rules] = FAULTY
+    before = np.array([GOOD] + [FAULT] * len(FAULTS))
+    vote, share, p = start, before, np.zeros((len(n), len(before)))
     for _ in range(rounds):
-        gap = before + v @ (np.log(right) - np.log(1 - right))
-        last, p = p, 1 / (1 + np.exp(-np.clip(gap, -700, 700)))
+        gap = np.log(share) + np.einsum("prv,krv->pk", seen, np.log(vote))
+        odds = np.exp(gap - gap.max(axis=1, keepdims=True))
+        last, p = p, odds / odds.sum(axis=1, keepdims=True)
         if np.abs(last - p).max(initial=0) < 1e-9:
             break
-        agrees = np.where(v == 1, p[:, None], np.where(v == -1, 1 - p[:, None], 0))
-        right = (n @ agrees / np.maximum(n @ (v != 0), 1) + RIGHT) / 2
-    return p, right
+        weight = p * n[:, None]
+        vote = np.einsum("pk,prv->krv", weight, seen) + PRIOR * start
+        vote /= vote.sum(axis=2, keepdims=True)
+        share = (weight.sum(axis=0) + PRIOR * before) / (n.sum() + PRIOR)
+    return p[:, 0], share, vote
 
 
 def judge(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", number: str | None = None) -> DataFrame:
@@ -154,7 +161,7 @@ def judge(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", number: s
         measured = scratch.write(rows.select("row", "doc_id", "text").mapInArrow(_measurer, schema), "measured")
         seen = sorted(map(tuple, measured.groupBy("pattern").count().collect()))  # 3 ** RULES at most
         patterns, n = np.array(seen, np.int64).reshape(-1, 2).T
-        p, _ = estimate(patterns, n)
+        p, _, _ = estimate(patterns, n)
         found = spark.createDataFrame(
             list(zip(patterns.tolist(), p.tolist())), "pattern int, quality double"
         )
