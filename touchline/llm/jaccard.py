@@ -39,7 +39,7 @@ from touchline.session import Scratch
 SHINGLE = 5
 PERCENT = 80
 PASSAGES = 1.0  # candidates by passages too rare for the sketch, assumed of each document
-CELL_BITS, SLICES, FAN = 22, 64, 64
+CELL_BITS, SLICES, FAN = 21, 32, 64
 CELLS = 1 << CELL_BITS
 
 _SALT = np.random.default_rng(77).integers(0, 2**64, SHINGLE, dtype=np.uint64)
@@ -70,7 +70,7 @@ def _cell(h: np.ndarray) -> np.ndarray:
 
 
 def _counter(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    cells, part = np.zeros(CELLS, np.int64), 0
+    cells, part = np.zeros(CELLS, np.uint32), 0  # of one task
     for batch in batches:
         data, at = bytes_of(batch.column(0))
         part = batch.column(1)[0].as_py() if batch.num_rows else part
