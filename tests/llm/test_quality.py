@@ -114,3 +114,12 @@ def test_empty_repeated_and_kept(docs):
     good = " ".join(f"word{i}" for i in range(150))
     frame = docs([(1, good), (1, good), (2, None), (3, "spam " * 90)])
     assert sorted(r.doc_id for r in quality.keep_good(frame).collect()) == [1, 1]
+
+
+def test_filter_agrees_with_verdict(docs, corpus):
+    """Nulls, empty and long texts, repeated rows and clashing columns; the same rows stay."""
+    frame = docs(corpus).selectExpr("*", "1 AS row", "2 AS pattern", "3 AS kept", "4 AS n_words")
+    want = sorted(r.doc_id for r in quality.judge(frame).where("kept").collect())
+    got = quality.keep_good(frame)
+    assert got.columns == frame.columns
+    assert sorted(r.doc_id for r in got.collect()) == want

@@ -29,8 +29,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from touchline.llm.exact import keep_rows
-from touchline.llm.text import SPACES, bytes_of, numbered, runs, whole_text, with_row
+from touchline.llm.text import SPACES, bytes_of, runs, whole_text, with_row
 from touchline.session import Scratch
 
 MIN_WORDS = 50
@@ -111,21 +110,50 @@ GOOD, FAULT = 0.85, 0.05  # shares at the start
 SOUND, FAULTY = (0.05, 0.15, 0.8), (0.6, 0.2, 0.2)  # votes bad, none, good at the start
 
 
+def _measures(batch: pa.RecordBatch, column: int) -> Iterator[tuple[int, int, dict[str, np.ndarray]]]:
+    """(first row, last row, their measures), a bounded number of bytes at a time."""
+    data, at = bytes_of(batch.column(column))
+    for first, last in runs(at, 8 << 20):
+        rows = [measure(data[at[i] : at[i + 1]].tobytes()) for i in range(first, last)]
+        yield first, last, dict(zip(MEASURES, np.array(rows, np.int64).T))
+
+
+def _pattern(m: dict[str, np.ndarray]) -> np.ndarray:
+    return (votes(m) + 1) @ 3 ** np.arange(RULES)
+
+
 def _measurer(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        data, at = bytes_of(batch.column(2))
-        for first, last in runs(at, 8 << 20):
-            rows = [measure(data[at[i] : at[i + 1]].tobytes()) for i in range(first, last)]
-            m = dict(zip(MEASURES, np.array(rows, np.int64).T))
-            pattern = (votes(m) + 1) @ 3 ** np.arange(RULES)
+        for first, last, m in _measures(batch, 2):
             yield pa.RecordBatch.from_arrays(
                 [batch.column(i).slice(first, last - first) for i in (0, 1)]
                 + [pa.array(m[k]) for k in MEASURES]
-                + [pa.array(pattern, pa.int32())],
+                + [pa.array(_pattern(m), pa.int32())],
                 ["row", "doc_id", *MEASURES, "pattern"],
             )
 
 
+def _pattern_counter(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    seen: Counter[int] = Counter()
+    for batch in batches:
+        for _, _, m in _measures(batch, 0):
+            seen.update(_pattern(m).tolist())
+    yield pa.RecordBatch.from_arrays(
+        [pa.array(seen.keys(), pa.int32()), pa.array(seen.values(), pa.int64())], ["pattern", "n"]
+    )
+
+
+def _keeper(column: int, good: frozenset[int]):
+    def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for first, last, m in _measures(batch, column):
+                failed = (m["n_words"] < MIN_WORDS) | (100 * m["n_repeat_words"] > 50 * m["n_words"])
+                sound = np.fromiter((x in good for x in _pattern(m).tolist()), bool, last - first)
+                yield batch.slice(first, last - first).filter(pa.array(sound & ~failed))
+
+    return keep
+
+
 def estimate(patterns: np.ndarray, n: np.ndarray, rounds: int = 500) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """(posterior of good by pattern, share of each kind, votes of each rule by kind).
 
@@ -172,7 +200,16 @@ def judge(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", number: s
         )
 
 
-def keep_good(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """``docs`` without the rows that the rules reject, all columns kept."""
-    docs, number = numbered(docs)
-    return keep_rows(docs, number, judge(docs, doc_id, text, number).where("kept"))
+def keep_good(docs: DataFrame, text: str = "text") -> DataFrame:
+    """``docs`` without the rows that the rules reject, all columns kept.
+
+    A text is measured twice, to count the patterns of votes and to decide; nothing but the
+    counts is shuffled or stored, and both times depend on the text alone.
+    """
+    body = docs.select(whole_text(text).cast("binary").alias("text"))
+    counted = body.mapInArrow(_pattern_counter, "pattern int, n long").groupBy("pattern").agg(F.sum("n"))
+    seen = sorted(map(tuple, counted.collect()))  # 3 ** RULES at most
+    patterns, n = np.array(seen, np.int64).reshape(-1, 2).T
+    p, _, _ = estimate(patterns, n)
+    good = frozenset(patterns[p >= 0.5].tolist())
+    return docs.mapInArrow(_keeper(docs.columns.index(text), good), docs.schema)
