@@ -373,6 +373,7 @@ def remove_repeats(
         buckets = bucket_count(rows)
         hits = scratch.write(repeated_anchors(rows, partial(byte_anchors, window), buckets), "hits")
         some = scratch.write(with_places(rows, hits, "hits").select("row", "id", "text", "hits"), "some")
+        scratch.drop("hits")
         found = scratch.write(some.mapInArrow(_fragments(window, buckets, min(SEEN, hot)), FOUND), "found")
         counts = found.select("many").where("octet_length(many) > 0").mapInArrow(_counts, "h long, n long")
         many = counts.groupBy("h").agg(F.sum("n").alias("n")).where(F.col("n") >= hot)
@@ -383,9 +384,11 @@ def remove_repeats(
         if len(grams):
             later = later.union(_hot_later(scratch, found, grams, window))
         later = scratch.write(later, "later")
+        scratch.drop("found", "hot")
         changed = with_places(some.drop("hits"), later, "packed").select("row", "id", "text", "packed")
         schema = "row long, n_removed long, spans array<long>, cut_sha string, text binary"
         changed = scratch.write(changed.mapInArrow(_cutter(with_text), schema), "changed")
+        scratch.drop("some", "later")
         plain = rows.select(
             "row", F.col("id").alias("doc_id"), F.octet_length("text").cast("long").alias("n_bytes"), F.sha2("text", 256).alias("sha")
         )
