@@ -13,7 +13,8 @@
    the second, only documents of different components still meet. In both, a pair is left
    out if the tokens that only one of the two can hold are too many for the threshold, so
    those of a group that are too far from its middle do not meet all others. In the second
-   round a pair must also share as many prefix tokens as its two sizes ask for.
+   round a pair must also share as many prefix tokens as its two sizes ask for; bit marks of
+   the prefixes bound that number where the two meet, before a row is made of them.
 5. Components give every document the smallest id it is linked with.
 
 Step 4 loses no link between components: a pair that meets in neither round is in one
@@ -41,6 +42,7 @@ PERCENT = 80
 PASSAGES = 1.0  # candidates by passages too rare for the sketch, assumed of each document
 CELL_BITS, SLICES, FAN = 21, 32, 64
 CELLS = 1 << CELL_BITS
+MARKS = [f"mark_{i}" for i in range(4)]  # 64 bits each, set by the tokens of a prefix that others hold
 
 _SALT = np.random.default_rng(77).integers(0, 2**64, SHINGLE, dtype=np.uint64)
 
@@ -205,6 +207,19 @@ def _reachable(n: str, own: str, other_n: str, other_deep: str) -> Column:
     return most * 100 >= (F.col(n) + F.col(other_n) - most) * PERCENT
 
 
+def _marks() -> list[Column]:
+    """Aggregates over tokens ``h`` of a prefix: each sets one bit of one mark."""
+    bit = F.call_function("shiftleft", F.lit(1).cast("long"), (F.shiftright("h", 2) % 64 + 64).cast("int") % 64)
+    which = F.col("h").bitwiseAND(F.lit(len(MARKS) - 1))
+    return [F.bit_or(F.when(which == i, bit).otherwise(F.lit(0).cast("long"))).alias(m) for i, m in enumerate(MARKS)]
+
+
+def _shared_at_most(x: str, y: str) -> Column:
+    """Most prefix tokens of ``x`` that ``y`` can hold: a bit that ``y`` lacks is a token it lacks."""
+    lacks = [F.bit_count(F.col(f"{x}.{m}").bitwiseAND(F.bitwise_not(f"{y}.{m}"))) for m in MARKS]
+    return F.col(f"{x}.held") - sum(lacks[1:], lacks[0])
+
+
 def link(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", number: str | None = None) -> DataFrame:
     """One row per row of ``docs``: row, doc_id, n_shingles, component_id, kept."""
     spark = docs.sparkSession
@@ -225,17 +240,21 @@ def link(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", number: st
         lead = F.min(F.struct("rare", "row"))["row"].alias("lead")
         first = held.groupBy("h").agg(F.count(F.lit(1)).alias("df"), lead)
         first = scratch.write(first.where("df > 1").select("h", "lead"), "tokens")
+        scratch.drop()
         shared = held.select("row", "h", (F.col("at") < F.col("rare")).alias("few"))
         shared = scratch.write(shared.join(first, "h"), "shared")
-        met = shared.groupBy("row").agg(F.count_if("few").alias("met"))
+        scratch.drop("tokens")
+        met = shared.groupBy("row").agg(F.count_if("few").alias("met"), F.count(F.lit(1)).alias("held"), *_marks())
         own = (F.col("rare") - F.col("met")).alias("own")  # tokens no other prefix holds
         deep = (F.size("tokens") > F.col("rare")).alias("deep")  # every rare token is in the prefix
         rest = (F.col("n") - F.size("tokens")).alias("rest")
-        sizes = scratch.write(some.join(met, "row").select("row", "n", "ways", own, deep, rest), "sizes")
+        sizes = scratch.write(some.join(met, "row").select("row", "n", "ways", own, deep, rest, "held", *MARKS), "sizes")
         signed = scratch.write(signed.drop("ways", "rare", "tokens"), "sets")
+        scratch.drop("signed", "copies")
         texts = scratch.write(rows.select("row", "text").join(sizes.select("row"), "row", "left_semi"), "texts")
-        scratch.drop("signed", "copies", "tokens", "rows")
-        size = lambda k: sizes.toDF(*[f"{c}_{k}" for c in sizes.columns]).withColumnRenamed(f"row_{k}", k)
+        scratch.drop("rows")
+        plain = sizes.drop("held", *MARKS)
+        size = lambda k: plain.toDF(*[f"{c}_{k}" for c in plain.columns]).withColumnRenamed(f"row_{k}", k)
         meet = shared.where("row <> lead").groupBy(F.col("row").alias("a"), F.col("lead").alias("b"))
         meet = meet.agg(F.count(F.lit(1)).alias("k"))
         near = F.least("n_a", "n_b") * 100 >= PERCENT * F.greatest("n_a", "n_b")
@@ -247,21 +266,24 @@ def link(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", number: st
         scratch.drop("meet")
         found = components(scratch, edges, "first")
         at = shared.drop("lead", "few").join(found.toDF("row", "c"), "row", "left").withColumn("c", F.coalesce("c", "row"))
-        at = scratch.write(at.join(sizes, "row"), "placed")
+        at = scratch.write(at, "placed")
         scratch.drop("shared")
         mixed = at.groupBy("h").agg(F.min("c").alias("l"), F.max("c").alias("m")).where("l <> m").select("h")
         mixed = scratch.write(mixed, "mixed")
-        still = scratch.write(at.join(mixed, "h", "left_semi"), "open")
+        still = scratch.write(at.join(mixed, "h", "left_semi").join(sizes, "row"), "open")
         scratch.drop("placed", "mixed")
         x, y = still.alias("x"), still.alias("y")
         apart = F.col("x.h") == F.col("y.h")
         apart &= (F.col("x.c") != F.col("y.c")) & (F.col("x.n") <= F.col("y.n")) & (F.col("x.n") * 100 >= PERCENT * F.col("y.n"))
         apart &= (F.col("x.n") < F.col("y.n")) | (F.col("x.row") < F.col("y.row"))
         apart &= _reachable("x.n", "x.own", "y.n", "y.deep") & _reachable("y.n", "y.own", "x.n", "x.deep")
+        most = F.least(_shared_at_most("x", "y"), _shared_at_most("y", "x"))
+        apart &= most >= F.least("x.ways", "y.ways")
+        apart &= (most + F.greatest("x.rest", "y.rest")) * (100 + PERCENT) >= (F.col("x.n") + F.col("y.n")) * PERCENT
         again = x.join(y, apart).groupBy(F.col("x.row").alias("a"), F.col("y.row").alias("b"))
-        most = F.max(F.greatest("x.rest", "y.rest")).alias("rest")
+        rests = F.max(F.greatest("x.rest", "y.rest")).alias("rest")
         need = F.min(F.least("x.ways", "y.ways")).alias("need")
-        again = again.agg(F.count(F.lit(1)).alias("k"), need, most, F.max(F.col("x.n") + F.col("y.n")).alias("n"))
+        again = again.agg(F.count(F.lit(1)).alias("k"), need, rests, F.max(F.col("x.n") + F.col("y.n")).alias("n"))
         # All that two sets share up to the end of one prefix is in both: k tokens, and the rest of that set.
         enough = (F.col("k") + F.col("rest")) * (100 + PERCENT) >= F.col("n") * PERCENT
         again = scratch.write(again.where((F.col("k") >= F.col("need")) & enough).select("a", "b"), "again")
