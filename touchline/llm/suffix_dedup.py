@@ -189,10 +189,8 @@ def _hot_windows(hot: np.ndarray, window: int):
     return find
 
 
-def _hot_later(scratch: Scratch, found: DataFrame, hot: np.ndarray, window: int) -> DataFrame:
+def _hot_later(every: DataFrame, window: int) -> DataFrame:
     """(row, pos): windows of the hot grams that have an earlier occurrence."""
-    schema = "h long, w long, id long, row long, pos long, first boolean"
-    every = scratch.write(found.mapInArrow(_hot_windows(hot, window), schema), "hot")
     place = F.struct("id", "row", "pos")
     top = every.where("first").groupBy("h", "w").agg(F.min(place).alias("top"), F.count(F.lit(1)).alias("n"))
     again = every.where("first").join(top.where("n > 1").drop("n"), ["h", "w"]).where(place != F.col("top"))
@@ -372,23 +370,28 @@ def remove_repeats(
         rows = scratch.write(rows.select("row", "id", "text"), "rows")
         buckets = bucket_count(rows)
         hits = scratch.write(repeated_anchors(rows, partial(byte_anchors, window), buckets), "hits")
-        some = scratch.write(with_places(rows, hits, "hits").select("row", "id", "text", "hits"), "some")
-        scratch.drop("hits")
+        scratch.drop()
+        some = with_places(rows, hits, "hits").select("row", "id", "text", "hits")
         found = scratch.write(some.mapInArrow(_fragments(window, buckets, min(SEEN, hot)), FOUND), "found")
+        scratch.drop("hits")
         counts = found.select("many").where("octet_length(many) > 0").mapInArrow(_counts, "h long, n long")
         many = counts.groupBy("h").agg(F.sum("n").alias("n")).where(F.col("n") >= hot)
         # At most one gram for every ``hot`` fragments.
         grams = np.array([r["h"] for r in many.collect()], np.int64).view(np.uint64)
         cold = found.mapInArrow(_without(grams), FOUND) if len(grams) else found
         later = cold.repartition(buckets, "bucket").groupBy("bucket").applyInArrow(_judge(window), "row long, pos long")
-        if len(grams):
-            later = later.union(_hot_later(scratch, found, grams, window))
         later = scratch.write(later, "later")
+        scratch.drop()
+        if len(grams):
+            schema = "h long, w long, id long, row long, pos long, first boolean"
+            every = scratch.write(found.mapInArrow(_hot_windows(grams, window), schema), "hot")
+            scratch.drop("found")
+            later = later.union(scratch.write(_hot_later(every, window), "hot-later"))
         scratch.drop("found", "hot")
-        changed = with_places(some.drop("hits"), later, "packed").select("row", "id", "text", "packed")
+        changed = with_places(rows, later, "packed").select("row", "id", "text", "packed")
         schema = "row long, n_removed long, spans array<long>, cut_sha string, text binary"
         changed = scratch.write(changed.mapInArrow(_cutter(with_text), schema), "changed")
-        scratch.drop("some", "later")
+        scratch.drop("later", "hot-later")
         plain = rows.select(
             "row", F.col("id").alias("doc_id"), F.octet_length("text").cast("long").alias("n_bytes"), F.sha2("text", 256).alias("sha")
         )
