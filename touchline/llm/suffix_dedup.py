@@ -33,7 +33,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from touchline.llm.repeats import bucket_count, documents_of, earliest, merged, repeated_anchors, with_places
 from touchline.llm.suffixes import common_prefixes, suffix_array
-from touchline.llm.text import span_hashes, whole_text, with_row
+from touchline.llm.text import span_hashes, whole_text, window_hashes, with_row
 from touchline.session import Scratch
 
 WINDOW, GRAM = 100, 32
@@ -55,9 +55,9 @@ def minimizers(window: int, data: np.ndarray, at: np.ndarray):
     empty = np.zeros(0, np.int64)
     if n < window - GRAM + 1:
         return np.zeros(0, np.uint64), empty, empty, empty, empty
-    begin = np.arange(n)
-    gram = span_hashes(data, begin, begin + GRAM)
-    least = (gram & ~_PLACE) | begin.astype(np.uint64)
+    gram = window_hashes(data, GRAM)
+    least = gram & ~_PLACE
+    least |= np.arange(n, dtype=np.uint64)
     wide, width = window - GRAM + 1, 1
     while 2 * width <= wide:
         least = np.minimum(least[:-width], least[width:])
@@ -66,16 +66,21 @@ def minimizers(window: int, data: np.ndarray, at: np.ndarray):
         rest = wide - width
         least = np.minimum(least[:-rest], least[rest:])
     size = np.diff(at)
-    doc = np.repeat(np.arange(len(size)), size)[: len(least)]
-    start = np.flatnonzero(np.repeat(at[1:], size)[: len(least)] - np.arange(len(least)) >= window)
+    doc = np.repeat(np.arange(len(size), dtype=np.int32), size)[: len(least)]
+    left = np.repeat(at[1:].astype(np.int32), size)[: len(least)]
+    left -= np.arange(len(least), dtype=np.int32)
+    start = np.flatnonzero(left >= window)
+    del left
     if not len(start):
         return np.zeros(0, np.uint64), empty, empty, empty, empty
-    anchor = (least[start] & _PLACE).astype(np.int64)
+    least = least[start]
+    least &= _PLACE
+    anchor = least.view(np.int64)
     new = np.ones(len(start), bool)
     new[1:] = (anchor[1:] != anchor[:-1]) | (doc[start[1:]] != doc[start[:-1]])
     first = np.flatnonzero(new)
     last = np.append(first[1:], len(start)) - 1
-    whose = doc[start[first]]
+    whose = doc[start[first]].astype(np.int64)
     base = at[whose]
     return gram[anchor[first]], whose, anchor[first] - base, start[first] - base, start[last] - base
 

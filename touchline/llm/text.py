@@ -103,6 +103,21 @@ def span_hashes(data: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndar
     return mix(h + (end - start).astype(np.uint64) * np.uint64(0xD6E8FEB86659FD93))
 
 
+def window_hashes(data: np.ndarray, size: int) -> np.ndarray:
+    """``span_hashes`` of every run of ``size`` bytes, with few arrays held at a time."""
+    up, down = _powers(len(data) + 1)
+    total = np.zeros(len(data) + 1, np.uint64)
+    tail = total[1:]
+    np.take(_BYTE, data, out=tail, mode="clip")
+    tail *= up[:-1]
+    np.cumsum(tail, out=tail)
+    h = total[size:] - total[:-size]
+    del total, tail
+    h *= down[: len(h)]
+    h += np.uint64(size * 0xD6E8FEB86659FD93 & (1 << 64) - 1)
+    return mix(h)
+
+
 class Words:
     """Words of a run of documents: ``start``, ``end``, ``doc`` and ``hash`` of each."""
 
