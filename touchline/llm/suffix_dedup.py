@@ -33,7 +33,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from touchline.llm.repeats import bucket_count, documents_of, earliest, merged, repeated_anchors, with_places
 from touchline.llm.suffixes import common_prefixes, suffix_array
-from touchline.llm.text import span_hashes, whole_text, window_hashes, with_row
+from touchline.llm.text import bytes_of, span_hashes, whole_text, window_hashes, with_row
 from touchline.session import Scratch
 
 WINDOW, GRAM = 100, 32
@@ -246,21 +246,20 @@ def _blocks(h: np.ndarray, size: np.ndarray) -> Iterator[np.ndarray]:
 
 def _later(window: int, table: pa.Table) -> pa.Table:
     """(row, pos): what a bucket's fragments show to have an earlier occurrence."""
-    columns: dict[str, list] = {k: [] for k in ("h", "row", "ids", "pos", "size", "gram")}
-    texts, rows, spans = [], [], []
-    for p in table.to_pylist():
-        doc = np.frombuffer(p["doc"], "<u4")
-        columns["h"].append(np.frombuffer(p["h"], "<u8"))
-        columns["row"].append(np.frombuffer(p["rows"], "<i8")[doc])
-        columns["ids"].append(np.frombuffer(p["ids"], "<i8")[doc])
-        columns["pos"].append(np.frombuffer(p["pos"], "<u4").astype(np.int64))
-        for k in ("size", "gram"):
-            columns[k].append(np.frombuffer(p[k], "<u2").astype(np.int64))
-        texts.append(p["text"])
-        rows.append(np.frombuffer(p["known_row"], "<i8"))
-        spans.append(np.frombuffer(p["known_span"], "<i8"))
-    h, row, ids, pos, size, gram = (np.concatenate(columns[k]) for k in columns)
-    text = np.frombuffer(b"".join(texts), np.uint8)
+
+    def flat(name: str, kind: str) -> tuple[np.ndarray, np.ndarray]:
+        """The packed values of all parts, without a copy of each, and where each part begins."""
+        data, at = bytes_of(table.column(name))
+        return data.view(kind), at // np.dtype(kind).itemsize
+
+    h, part = flat("h", "<u8")
+    whose, held = flat("rows", "<i8")
+    doc = flat("doc", "<u4")[0] + np.repeat(held[:-1], np.diff(part))
+    row, ids = whose[doc], flat("ids", "<i8")[0][doc]
+    pos, size, gram = (flat(k, kind)[0].astype(np.int64) for k, kind in (("pos", "<u4"), ("size", "<u2"), ("gram", "<u2")))
+    text = flat("text", "u1")[0]
+    rows, spans = [flat("known_row", "<i8")[0]], [flat("known_span", "<i8")[0]]
+    del table, doc, whose
     begin = np.cumsum(size) - size
 
     def collapse(kept: np.ndarray) -> np.ndarray:
@@ -292,7 +291,9 @@ def _later(window: int, table: pa.Table) -> pa.Table:
 
 def _judge(window: int):
     def judge(table: pa.Table) -> pa.Table:
-        return _later(window, table)
+        found = _later(window, table)
+        pa.default_memory_pool().release_unused()  # the worker goes on to other tasks
+        return found
 
     return judge
 
