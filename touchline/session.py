@@ -99,9 +99,9 @@ class Scratch:
     def path(self, name: str) -> str:
         return f"{self.root}/{name}"
 
-    def write(self, df: DataFrame, name: str) -> DataFrame:
-        """Write a frame into the folder and read it back."""
-        df.write.parquet(self.path(name))
+    def write(self, df: DataFrame, name: str, **options: str) -> DataFrame:
+        """Write a frame into the folder, with the writer's options, and read it back."""
+        df.write.options(**options).parquet(self.path(name))
         return self.spark.read.schema(df.schema).parquet(self.path(name))
 
     def drop(self, *names: str) -> None:
