@@ -371,14 +371,14 @@ def remove_repeats(
     """One row per row of ``docs``: row, doc_id, n_bytes, n_removed, n_spans, spans (first and
     past-last bytes of the removed runs, flat), kept_sha256; with ``with_text`` also what is
     left of the changed documents (``kept_text``, null if nothing was removed)."""
-    with Scratch(docs.sparkSession, "suffix") as scratch:
+    with Scratch(docs.sparkSession, "suffix", compression="zstd") as scratch:
         rows = with_row(docs, id=F.col(doc_id).cast("long"), text=whole_text(text).cast("binary"))
-        rows = scratch.write(rows.select("row", "id", "text"), "rows", compression="zstd")
+        rows = scratch.write(rows.select("row", "id", "text"), "rows")
         buckets = bucket_count(rows)
         hits = scratch.write(repeated_anchors(rows, partial(byte_anchors, window), buckets), "hits")
         scratch.drop()
         some = with_places(rows, hits, "hits").select("row", "id", "text", "hits")
-        found = scratch.write(some.mapInArrow(_fragments(window, buckets, min(SEEN, hot)), FOUND), "found", compression="zstd")
+        found = scratch.write(some.mapInArrow(_fragments(window, buckets, min(SEEN, hot)), FOUND), "found")
         scratch.drop("hits")
         counts = found.select("many").where("octet_length(many) > 0").mapInArrow(_counts, "h long, n long")
         many = counts.groupBy("h").agg(F.sum("n").alias("n")).where(F.col("n") >= hot)

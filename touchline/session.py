@@ -82,11 +82,13 @@ class Scratch:
 
     Written tables cut the lineage: they outlive the executors that wrote them. What
     the job returns goes to ``publish``, which stays for the cluster's own cleanup.
+    ``options`` are the writer's, for all tables of the folder.
     """
 
-    def __init__(self, spark: SparkSession, purpose: str):
+    def __init__(self, spark: SparkSession, purpose: str, **options: str):
         self.spark = spark
         self.purpose = purpose
+        self.options = options
         self.root = fresh_dir(spark, purpose)
 
     def __enter__(self) -> Scratch:
@@ -99,9 +101,9 @@ class Scratch:
     def path(self, name: str) -> str:
         return f"{self.root}/{name}"
 
-    def write(self, df: DataFrame, name: str, **options: str) -> DataFrame:
-        """Write a frame into the folder, with the writer's options, and read it back."""
-        df.write.options(**options).parquet(self.path(name))
+    def write(self, df: DataFrame, name: str) -> DataFrame:
+        """Write a frame into the folder and read it back."""
+        df.write.options(**self.options).parquet(self.path(name))
         return self.spark.read.schema(df.schema).parquet(self.path(name))
 
     def drop(self, *names: str) -> None:
