@@ -195,9 +195,9 @@ def sink_strict_violations(t: Tables) -> DataFrame:
     """,
 )
 def sink_replay_idempotent(t: Tables) -> DataFrame:
-    """The target after the same batch was inserted twice."""
-    once = planning.replayed(order_target(t), order_batch(t), ["o_orderkey"], ["seq"])
-    return planning.replayed(once, order_batch(t), ["o_orderkey"], ["seq"])
+    """The target after the same batch, as large as the target, was inserted twice."""
+    once = planning.replayed(order_target(t), order_batch(t), ["o_orderkey"], ["seq"], merge=True)
+    return planning.replayed(once, order_batch(t), ["o_orderkey"], ["seq"], merge=True)
 
 
 @query("stamp_run_id", "SELECT event_id, event_type, 'manual__1' AS run_id FROM events")

@@ -10,31 +10,36 @@ from pyspark.sql import Column, DataFrame, functions as F
 from touchline.operators.dedupe import collapse_copies, first_per_key
 
 
+def near_keys(batch: DataFrame, target: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """The target's keys in the batch's range of the first key, which reaches its scan as a
+    pushed filter and skips row groups."""
+    first = keys[0]
+    low, high = batch.agg(F.min(first)).scalar(), batch.agg(F.max(first)).scalar()
+    return target.select(*keys).where((F.col(first) >= low) & (F.col(first) <= high))
+
+
 def held_keys(batch: DataFrame, target: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Keys of the batch that the target already holds.
 
-    The target is cut to the batch's range of the first key, which reaches its scan as
-    a pushed filter and skips row groups, then to the keys themselves. A small batch is
-    broadcast to it, so a large table is neither read whole nor shuffled.
+    The target is cut to the batch's range of the first key, then to the keys themselves. A
+    small batch is broadcast to it, so a large table is neither read whole nor shuffled.
     """
-    first = keys[0]
-    low, high = batch.agg(F.min(first)).scalar(), batch.agg(F.max(first)).scalar()
-    near = target.select(*keys).where((F.col(first) >= low) & (F.col(first) <= high))
-    return near.join(batch.select(*keys).distinct(), list(keys), "left_semi")
+    return near_keys(batch, target, keys).join(batch.select(*keys).distinct(), list(keys), "left_semi")
 
 
 def insert_absent(
-    batch: DataFrame, target: DataFrame, keys: Sequence[str], order: Sequence[str | Column]
+    batch: DataFrame, target: DataFrame, keys: Sequence[str], order: Sequence[str | Column], merge: bool = False
 ) -> DataFrame:
     """Rows an insert-if-absent adds: the first per key, unless the target holds the key.
 
-    A key with a NULL part conflicts with nothing, so such rows are all added.
+    A key with a NULL part conflicts with nothing, so such rows are all added. ``merge`` is for
+    a batch that is not small next to the target: its keys are not sent through the driver to
+    cut the target first, both are sorted by key and merged.
     """
     whole = reduce(lambda a, b: a & b, [F.col(k).isNotNull() for k in keys])
     keyed = batch.where(whole)
-    new = first_per_key(keyed, keys, order).join(
-        held_keys(keyed, target, keys), list(keys), "left_anti"
-    )
+    held = near_keys(keyed, target, keys).hint("merge") if merge else held_keys(keyed, target, keys)
+    new = first_per_key(keyed, keys, order).join(held, list(keys), "left_anti")
     return new.select(*batch.columns).union(batch.where(~whole))
 
 
@@ -96,7 +101,7 @@ def strict_violations(batch: DataFrame, target: DataFrame, keys: Sequence[str])
 
 
 def replayed(
-    target: DataFrame, batch: DataFrame, keys: Sequence[str], order: Sequence[str | Column]
+    target: DataFrame, batch: DataFrame, keys: Sequence[str], order: Sequence[str | Column], merge: bool = False
 ) -> DataFrame:
     """The target after inserting a batch."""
-    return target.unionByName(insert_absent(batch, target, keys, order))
+    return target.unionByName(insert_absent(batch, target, keys, order, merge))
