@@ -26,6 +26,7 @@ from touchline.session import fresh_dir
 from touchline.sinks.planning import insert_absent, strict_violations
 from touchline.sources.tables import Warehouse
 
+SMALL = 16  # a batch may be broadcast to a table that has so many times its rows in the batch's range
 ROW = "_row"  # a staged row's number: task number in the upper bits, place below
 _PLACE_BITS = 33
 _RANGED = (T.IntegerType, T.LongType, T.StringType)
@@ -139,14 +140,17 @@ class Unit:
         spec = TABLES[table]
         keys = list(keys or spec.unique[0])
         batch, total, bad = self._checked(table, df, [c for c in order if c not in spec.schema.names])
-        new = insert_absent(batch, self._near(table, batch, keys), keys, order) if total else batch
+        if not total:
+            return self._add(table, batch, batch, total, bad)
+        held, rows = self._near(table, batch, keys)
+        new = insert_absent(batch, held, keys, order, merge=rows < SMALL * total)
         return self._add(table, batch, new, total, bad)
 
     def insert_strict(self, table: str, df: DataFrame, keys: Sequence[str] | None = None) -> Outcome:
         """All rows, or none: any key present twice or already stored is an error."""
         keys = list(keys or TABLES[table].unique[0])
         batch, total, bad = self._checked(table, df)
-        held = self._near(table, batch, keys)
+        held, _ = self._near(table, batch, keys)
         twice = strict_violations(batch, held, keys).limit(5).collect()  # for the message only
         if twice:
             shown = "; ".join(str(tuple(r[k] for k in keys)) for r in twice)
@@ -181,12 +185,12 @@ class Unit:
             raise ConstraintViolation(f"{table}: {shown}")
         return flagged.where(F.size("violated") == 0).drop("violated"), total, bad
 
-    def _near(self, table: str, batch: DataFrame, keys: Sequence[str]) -> DataFrame:
-        """The table's keys, without the batches out of the first key's range."""
+    def _near(self, table: str, batch: DataFrame, keys: Sequence[str]) -> tuple[DataFrame, int]:
+        """The table without the batches out of the first key's range, and its rows."""
         first = keys[0]
         low, high = batch.agg(F.min(first), F.max(first)).first()
         near = (first, low, high) if isinstance(low, (int, str)) else None
-        return self.wh.read(table, self.base, near)
+        return self.wh.read(table, self.base, near), self.wh.rows(table, self.base, near)
 
     def _add(self, table: str, batch: DataFrame, new: DataFrame, total: int, bad: DataFrame) -> Outcome:
         """Store ``new``, rows of ``batch``, in a folder of the table that the commit will name."""

@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
-from touchline.commits import CommitLog
+from touchline.commits import CommitLog, Part
 from touchline.schemas import TABLES
 
 
@@ -36,7 +36,7 @@ class Warehouse:
         ``near`` is a (column, low, high): batches without a value in that range may be left
         out. Tables with a season are stored by season, so a filter on it reads only that.
         """
-        parts = [p for p in self.log.parts(table, upto) if p.rows and (near is None or p.may_hold(*near))]
+        parts = self._parts(table, upto, near)
         schema = self.schema(table)
         if not parts:
             return empty(self.spark, schema)
@@ -44,6 +44,13 @@ class Warehouse:
         rows = self.spark.read.schema(schema).option("basePath", root).parquet(*[f"{root}/{p.folder}" for p in parts])
         return rows.select(*schema.names)
 
+    def rows(self, table: str, upto: int | None = None, near: tuple[str, object, object] | None = None) -> int:
+        """How many rows ``read`` gives, from the log alone."""
+        return sum(p.rows for p in self._parts(table, upto, near))
+
+    def _parts(self, table: str, upto: int | None, near: tuple[str, object, object] | None) -> list[Part]:
+        return [p for p in self.log.parts(table, upto) if p.rows and (near is None or p.may_hold(*near))]
+
     def report(self) -> DataFrame:
         """Rows ``inserted`` and in ``total`` per committed batch and table, from the log alone."""
         rows = [

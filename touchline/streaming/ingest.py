@@ -11,7 +11,7 @@ from touchline.operators.filters import split_status
 from touchline.plans.matches import KEY, classify, games, player_rows, set_aside
 from touchline.schemas import MATCH_PAGE
 from touchline.sinks.planning import insert_absent
-from touchline.sinks.writers import stage, write_pair
+from touchline.sinks.writers import SMALL, stage, write_pair
 from touchline.sources.tables import Warehouse, read_or_empty
 
 # One landed document per match: the page fields and the roster fields.
@@ -42,7 +42,8 @@ def insert_available(
         rows, n = stage(batch, "stream")
         if n:
             held = read_or_empty(spark, target, schema)
-            insert_absent(rows, held, keys, order).write.mode("append").parquet(target)
+            merge = held.count() < SMALL * n  # of Parquet files only the footers are read for it
+            insert_absent(rows, held, keys, order, merge).write.mode("append").parquet(target)
 
     return run_available(source, each, checkpoint)
 
