@@ -35,7 +35,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F, Window
 from touchline.llm.text import bytes_of, runs, whole_text
 from touchline.session import fresh_dir
 
-REMEMBERED = 200_000  # pieces that a worker keeps between its tasks
+REMEMBERED = 200_000  # pieces that a worker keeps between its tasks, and as many of those used before them
 
 
 def _plain(piece: str) -> bool:
@@ -72,6 +72,7 @@ class Encoder:
         self.tokenizer = _tokenizer(path)
         self.end = _packed([end])
         self.known: dict[str, bytes] = {}  # a piece as it stands after a blank, or with its line break
+        self.older: dict[str, bytes] = {}  # the pieces known before those; one that is used again is known again
         self.first: dict[str, bytes] = {}  # a piece as it stands at the beginning
         vocabulary = self.tokenizer.get_vocab(with_added_tokens=True)
         self.size = np.zeros(max(vocabulary.values()) + 1, np.int64)  # bytes of text behind an id
@@ -102,18 +103,26 @@ class Encoder:
         else:
             self.known.update(zip(words, self._whole(pieces)))
 
+    def _unknown(self, parts: list[list[str]]) -> set[str]:
+        """The pieces, but the texts' first ones, that are not known."""
+        new = set().union(*(p[1:] for p in parts)).difference(self.known)
+        again = new.intersection(self.older)
+        self.known.update((p, self.older[p]) for p in again)
+        return new - again
+
     def many(self, texts: list[str]) -> list[bytes]:
         """Ids of each text. Texts of words parted by one blank or line break each are put
         together from pieces encoded once; all others are encoded whole."""
-        if len(self.known) > REMEMBERED or len(self.first) > REMEMBERED:
-            self.known.clear()
+        if len(self.known) > REMEMBERED:
+            self.older, self.known = self.known, {}
+        if len(self.first) > REMEMBERED:
             self.first.clear()
         parts = [text.replace("\n", " \n").split(" ") for text in texts]
-        new = set().union(*(p[1:] for p in parts)).difference(self.known)
+        new = self._unknown(parts)
         odd = _odd(list(new))
         if odd:
             joined = [i for i, p in enumerate(parts) if _plain(p[0]) and odd.isdisjoint(p[1:])]
-            new = set().union(*(parts[i][1:] for i in joined)).difference(self.known)
+            new = self._unknown([parts[i] for i in joined])
         else:
             joined = [i for i, p in enumerate(parts) if p[0] in self.first or _plain(p[0])]
         if new:
