@@ -223,7 +223,7 @@ def _shared_at_most(x: str, y: str) -> Column:
 def link(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", number: str | None = None) -> DataFrame:
     """One row per row of ``docs``: row, doc_id, n_shingles, component_id, kept."""
     spark = docs.sparkSession
-    with Scratch(spark, "jaccard") as scratch:
+    with Scratch(spark, "jaccard", compression="zstd") as scratch:
         rows = with_row(docs, number, doc_id=F.col(doc_id).cast("long"), text=whole_text(text).cast("binary"))
         rows = rows.select("row", "doc_id", "text")
         rows = rows if number else scratch.write(rows, "rows")
