@@ -14,7 +14,9 @@
    out if the tokens that only one of the two can hold are too many for the threshold, so
    those of a group that are too far from its middle do not meet all others. In the second
    round a pair must also share as many prefix tokens as its two sizes ask for; bit marks of
-   the prefixes bound that number where the two meet, before a row is made of them.
+   the prefixes bound that number where the two meet, before a row is made of them. Each set
+   carries the least of its prefix tokens that others hold: two that share some of these meet
+   at the least of them alone, and not at every token they share.
 5. Components give every document the smallest id it is linked with.
 
 Step 4 loses no link between components: a pair that meets in neither round is in one
@@ -43,6 +45,7 @@ PASSAGES = 1.0  # candidates by passages too rare for the sketch, assumed of eac
 CELL_BITS, SLICES, FAN = 21, 32, 64
 CELLS = 1 << CELL_BITS
 MARKS = [f"mark_{i}" for i in range(4)]  # 64 bits each, set by the tokens of a prefix that others hold
+LEAST = 4  # tokens of a prefix, of those that others hold, that a set carries where it meets others
 
 _SALT = np.random.default_rng(77).integers(0, 2**64, SHINGLE, dtype=np.uint64)
 
@@ -220,6 +223,33 @@ def _shared_at_most(x: str, y: str) -> Column:
     return F.col(f"{x}.held") - sum(lacks[1:], lacks[0])
 
 
+def _meets_here(x: str, y: str) -> Column:
+    """Whether no token before this one is known to be in the prefixes of both.
+
+    Both lists are the least tokens of a prefix, so a token of both is shared, and the least
+    such token is the least of all that the two share.
+    """
+    first = F.get(F.array_intersect(f"{x}.least", f"{y}.least"), 0)
+    return F.coalesce(first == F.col(f"{x}.h"), F.lit(True))
+
+
+def _meetings(still: DataFrame) -> DataFrame:
+    """(a, b): sets of different components that meet at a token and can be similar enough.
+
+    Two that share none of their least tokens meet at every token they share, others once.
+    """
+    x, y = still.alias("x"), still.alias("y")
+    apart = F.col("x.h") == F.col("y.h")
+    apart &= (F.col("x.c") != F.col("y.c")) & (F.col("x.n") <= F.col("y.n")) & (F.col("x.n") * 100 >= PERCENT * F.col("y.n"))
+    apart &= (F.col("x.n") < F.col("y.n")) | (F.col("x.row") < F.col("y.row"))
+    apart &= _reachable("x.n", "x.own", "y.n", "y.deep") & _reachable("y.n", "y.own", "x.n", "x.deep")
+    most = F.least(_shared_at_most("x", "y"), _shared_at_most("y", "x"))
+    apart &= most >= F.least("x.ways", "y.ways")
+    apart &= (most + F.greatest("x.rest", "y.rest")) * (100 + PERCENT) >= (F.col("x.n") + F.col("y.n")) * PERCENT
+    apart &= _meets_here("x", "y")
+    return x.join(y, apart).select(F.col("x.row").alias("a"), F.col("y.row").alias("b"))
+
+
 def link(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", number: str | None = None) -> DataFrame:
     """One row per row of ``docs``: row, doc_id, n_shingles, component_id, kept."""
     spark = docs.sparkSession
@@ -244,16 +274,17 @@ def link(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", number: st
         shared = held.select("row", "h", (F.col("at") < F.col("rare")).alias("few"))
         shared = scratch.write(shared.join(first, "h"), "shared")
         scratch.drop("tokens")
-        met = shared.groupBy("row").agg(F.count_if("few").alias("met"), F.count(F.lit(1)).alias("held"), *_marks())
+        least = F.slice(F.array_sort(F.collect_list("h")), 1, LEAST).alias("least")  # at most the prefix of one set
+        met = shared.groupBy("row").agg(F.count_if("few").alias("met"), F.count(F.lit(1)).alias("held"), least, *_marks())
         own = (F.col("rare") - F.col("met")).alias("own")  # tokens no other prefix holds
         deep = (F.size("tokens") > F.col("rare")).alias("deep")  # every rare token is in the prefix
         rest = (F.col("n") - F.size("tokens")).alias("rest")
-        sizes = scratch.write(some.join(met, "row").select("row", "n", "ways", own, deep, rest, "held", *MARKS), "sizes")
+        sizes = scratch.write(some.join(met, "row").select("row", "n", "ways", own, deep, rest, "held", "least", *MARKS), "sizes")
         signed = scratch.write(signed.drop("ways", "rare", "tokens"), "sets")
         scratch.drop("signed", "copies")
         texts = scratch.write(rows.select("row", "text").join(sizes.select("row"), "row", "left_semi"), "texts")
         scratch.drop("rows")
-        plain = sizes.drop("held", *MARKS)
+        plain = sizes.drop("held", "least", *MARKS)
         size = lambda k: plain.toDF(*[f"{c}_{k}" for c in plain.columns]).withColumnRenamed(f"row_{k}", k)
         meet = shared.where("row <> lead").groupBy(F.col("row").alias("a"), F.col("lead").alias("b"))
         meet = meet.agg(F.count(F.lit(1)).alias("k"))
@@ -272,21 +303,7 @@ def link(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", number: st
         mixed = scratch.write(mixed, "mixed")
         still = scratch.write(at.join(mixed, "h", "left_semi").join(sizes, "row"), "open")
         scratch.drop("placed", "mixed")
-        x, y = still.alias("x"), still.alias("y")
-        apart = F.col("x.h") == F.col("y.h")
-        apart &= (F.col("x.c") != F.col("y.c")) & (F.col("x.n") <= F.col("y.n")) & (F.col("x.n") * 100 >= PERCENT * F.col("y.n"))
-        apart &= (F.col("x.n") < F.col("y.n")) | (F.col("x.row") < F.col("y.row"))
-        apart &= _reachable("x.n", "x.own", "y.n", "y.deep") & _reachable("y.n", "y.own", "x.n", "x.deep")
-        most = F.least(_shared_at_most("x", "y"), _shared_at_most("y", "x"))
-        apart &= most >= F.least("x.ways", "y.ways")
-        apart &= (most + F.greatest("x.rest", "y.rest")) * (100 + PERCENT) >= (F.col("x.n") + F.col("y.n")) * PERCENT
-        again = x.join(y, apart).groupBy(F.col("x.row").alias("a"), F.col("y.row").alias("b"))
-        rests = F.max(F.greatest("x.rest", "y.rest")).alias("rest")
-        need = F.min(F.least("x.ways", "y.ways")).alias("need")
-        again = again.agg(F.count(F.lit(1)).alias("k"), need, rests, F.max(F.col("x.n") + F.col("y.n")).alias("n"))
-        # All that two sets share up to the end of one prefix is in both: k tokens, and the rest of that set.
-        enough = (F.col("k") + F.col("rest")) * (100 + PERCENT) >= F.col("n") * PERCENT
-        again = scratch.write(again.where((F.col("k") >= F.col("need")) & enough).select("a", "b"), "again")
+        again = scratch.write(_meetings(still).distinct(), "again")
         scratch.drop("open")
         more = scratch.write(_verified(again, texts), "edges-2")
         scratch.drop("texts", "again")

@@ -47,11 +47,14 @@ def with_row(docs: DataFrame, number: str | None = None, **columns: str | Column
 
 
 def numbered(docs: DataFrame) -> tuple[DataFrame, str]:
-    """``docs``, written with a column of row numbers, and that column's name."""
+    """``docs``, written with a column of row numbers, and that column's name.
+
+    The copy stays for as long as the result is read, so it is written compactly.
+    """
     number = "row"
     while number.lower() in map(str.lower, docs.columns):
         number += "_"
-    return materialise(docs.withColumn(number, F.monotonically_increasing_id()), "numbered"), number
+    return materialise(docs.withColumn(number, F.monotonically_increasing_id()), "numbered", compression="zstd"), number
 
 
 def bytes_of(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:

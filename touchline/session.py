@@ -56,14 +56,14 @@ def fresh_dir(spark: SparkSession, purpose: str) -> str:
     return f"{shared_dir(spark)}/{purpose}-{uuid.uuid4().hex}"
 
 
-def materialise(df: DataFrame, purpose: str) -> DataFrame:
+def materialise(df: DataFrame, purpose: str, **options: str) -> DataFrame:
     """Write a frame below the shared folder and read it back.
 
     Cuts the lineage, so that work used several times is done once, with files that
-    outlive the executors that wrote them.
+    outlive the executors that wrote them. ``options`` are the writer's.
     """
     path = fresh_dir(df.sparkSession, purpose)
-    df.write.parquet(path)
+    df.write.options(**options).parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
@@ -121,4 +121,4 @@ class Scratch:
 
     def publish(self, df: DataFrame) -> DataFrame:
         """Write a frame to a folder that outlives this one and read it back."""
-        return materialise(df, self.purpose)
+        return materialise(df, self.purpose, **self.options)
