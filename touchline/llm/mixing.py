@@ -26,7 +26,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from touchline.llm.text import WORD, numbered, whole_text, with_row
+from touchline.llm.text import WORD, whole_text, with_row
 from touchline.session import Scratch
 
 CAP = 3
@@ -192,6 +192,53 @@ def _untaken(extra: DataFrame, sources: list[dict]) -> DataFrame:
     return _taken(extra, sources).where("NOT again").drop("again")
 
 
+def _named(sized: DataFrame, sources: list[dict]) -> DataFrame:
+    """Rows with what is known of their source: no, mean, source_size, target."""
+    of = _listed(
+        sized.sparkSession,
+        [(s["no"], s["source"], s["mean"], s["size"], s["target"]) for s in sources],
+        "no int, _s string, mean double, source_size long, target double",
+    )
+    return sized.join(of, F.col("source").eqNullSafe(F.col("_s"))).drop("_s")
+
+
+def _rated(named: DataFrame, sources: list[dict], cap: float) -> DataFrame:
+    """Rows with their rate, the whole copies in it, and the draw for one more."""
+    tilts = _listed(named.sparkSession, [(s["no"], s["tilt"]) for s in sources], "no int, tilt double")
+    rated = named.join(tilts, "no").withColumn("rate", _rate(F.col("tilt"), F.col("size"), F.col("mean"), cap))
+    part = F.col("rate") % UNIT
+    u = (F.xxhash64("doc_id", "size").bitwiseAND((1 << 53) - 1) + 1) / float(1 << 53)
+    rated = rated.withColumn("v", F.when((part > 0) & (F.col("size") > 0), u * UNIT / part))
+    return rated.withColumn("base", F.floor(F.col("rate") / UNIT).cast("int"))
+
+
+def _solved(scratch: Scratch, sized: DataFrame, weights: Sequence[float], cap: float) -> tuple[DataFrame, list[dict]]:
+    """The rated rows of a written table (doc_id, source, size), and the sources with their rules."""
+    totals = sized.groupBy("source").agg(F.sum("size").alias("size"), F.count(F.lit(1)).alias("n"))
+    found = totals.limit(SOURCES + 1).collect()
+    if len(found) > SOURCES:
+        raise ValueError(f"a mix has at most {SOURCES} sources")
+    listed = sorted(found, key=lambda r: (r["source"] is None, r["source"] or ""))
+    sources = [{"no": i, "source": r["source"], "size": r["size"], "n": r["n"]} for i, r in enumerate(listed)]
+    shares = [weights[i % len(weights)] for i in range(len(sources))]
+    for s, target in zip(sources, share_out([s["size"] for s in sources], shares, cap)):
+        s["target"], s["mean"] = target, max(1.0, s["size"] / s["n"])
+    named = _named(sized, sources)
+    counted = scratch.write(named.where("size > 0").groupBy("no", "size").agg(F.count(F.lit(1)).alias("n")), "counted")
+    _solve(scratch, counted, sources, cap)
+    rated = scratch.write(_rated(named, sources, cap), "rated")
+    given = rated.groupBy("no").agg(F.sum(F.col("base") * F.col("size")).alias("words")).collect()
+    given = {r["no"]: r["words"] for r in given}
+    for s in sources:
+        s["need"] = max(0.0, s["target"] - given.get(s["no"], 0))
+    _round_off(scratch, rated, sources)
+    return rated, sources
+
+
+def _copies() -> Column:
+    return F.col("base") + F.col("again").cast("int")
+
+
 def mix(
     docs: DataFrame,
     doc_id: str = "doc_id",
@@ -207,37 +254,8 @@ def mix(
     with Scratch(spark, "mix") as scratch:
         sized = with_row(docs, number, doc_id=doc_id, source=source, size=word_count(text))
         sized = scratch.write(sized, "sized")
-        totals = sized.groupBy("source").agg(F.sum("size").alias("size"), F.count(F.lit(1)).alias("n"))
-        found = totals.limit(SOURCES + 1).collect()
-        if len(found) > SOURCES:
-            raise ValueError(f"a mix has at most {SOURCES} sources")
-        listed = sorted(found, key=lambda r: (r["source"] is None, r["source"] or ""))
-        sources = [{"no": i, "source": r["source"], "size": r["size"], "n": r["n"]} for i, r in enumerate(listed)]
-        shares = [weights[i % len(weights)] for i in range(len(sources))]
-        for s, target in zip(sources, share_out([s["size"] for s in sources], shares, cap)):
-            s["target"], s["mean"] = target, max(1.0, s["size"] / s["n"])
-        of = _listed(
-            spark,
-            [(s["no"], s["source"], s["mean"], s["size"], s["target"]) for s in sources],
-            "no int, source string, mean double, source_size long, target double",
-        )
-        named = sized.join(of.withColumnRenamed("source", "_s"), F.col("source").eqNullSafe(F.col("_s"))).drop("_s")
-        counted = scratch.write(
-            named.where("size > 0").groupBy("no", "size").agg(F.count(F.lit(1)).alias("n")), "counted"
-        )
-        _solve(scratch, counted, sources, cap)
-        tilts = _listed(spark, [(s["no"], s["tilt"]) for s in sources], "no int, tilt double")
-        rated = named.join(tilts, "no").withColumn("rate", _rate(F.col("tilt"), F.col("size"), F.col("mean"), cap))
-        part = F.col("rate") % UNIT
-        u = (F.xxhash64("doc_id", "size").bitwiseAND((1 << 53) - 1) + 1) / float(1 << 53)
-        rated = rated.withColumn("v", F.when((part > 0) & (F.col("size") > 0), u * UNIT / part))
-        rated = scratch.write(rated.withColumn("base", F.floor(F.col("rate") / UNIT).cast("int")), "rated")
-        given = rated.groupBy("no").agg(F.sum(F.col("base") * F.col("size")).alias("words")).collect()
-        given = {r["no"]: r["words"] for r in given}
-        for s in sources:
-            s["need"] = max(0.0, s["target"] - given.get(s["no"], 0))
-        _round_off(scratch, rated, sources)
-        mixed = _taken(rated, sources).withColumn("copies", F.col("base") + F.col("again").cast("int"))
+        rated, sources = _solved(scratch, sized, weights, cap)
+        mixed = _taken(rated, sources).withColumn("copies", _copies())
         return scratch.publish(
             mixed.select(
                 "row",
@@ -253,11 +271,23 @@ def mix(
         )
 
 
-def take_copies(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", source: str = "source") -> DataFrame:
-    """``docs`` as the mix takes them: each row as often as its copies, or not at all."""
-    columns, copies = docs.columns, "copies" + "_" * (1 + max(map(len, docs.columns)))
-    docs, number = numbered(docs)
-    mixed = mix(docs, doc_id, text, source, number=number).where("copies > 0").select("row", "copies")
-    joined = docs.join(mixed.toDF(number, copies), number)
-    again = F.explode(F.sequence(F.lit(1), F.col(copies)))
-    return joined.select(*columns, again.alias(copies)).select(*columns)
+def take_copies(
+    docs: DataFrame,
+    doc_id: str = "doc_id",
+    text: str = "text",
+    source: str = "source",
+    weights: Sequence[float] = (1, 2, 3),
+    cap: float = CAP,
+) -> DataFrame:
+    """``docs`` as the mix takes them: each row as often as its copies, or not at all.
+
+    The copies follow from a row's id, source and size and the rules of its source, so they
+    are found while the rows are read again; no text is written or shuffled for it.
+    """
+    known = {"doc_id": F.col(doc_id), "source": F.col(source), "size": word_count(text)}
+    known = [c.alias(name) for name, c in known.items()]
+    with Scratch(docs.sparkSession, "mix") as scratch:
+        _, sources = _solved(scratch, scratch.write(docs.select(*known), "sized"), weights, cap)
+    each = docs.select(F.struct(*docs.columns).alias("doc"), *known)
+    taken = _taken(_rated(_named(each, sources), sources, cap), sources).where(_copies() > 0)
+    return taken.select("doc", F.explode(F.sequence(F.lit(1), _copies()))).select("doc.*")
