@@ -33,7 +33,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from touchline.llm.repeats import bucket_count, documents_of, earliest, merged, repeated_anchors, with_places
 from touchline.llm.suffixes import common_prefixes, suffix_array
-from touchline.llm.text import bytes_of, span_hashes, whole_text, window_hashes, with_row
+from touchline.llm.text import bytes_of, mix, span_hashes, whole_text, window_hashes, with_row
 from touchline.session import Scratch
 
 WINDOW, GRAM = 100, 32
@@ -50,7 +50,10 @@ _PLACE = np.uint64((1 << 30) - 1)
 
 
 def minimizers(window: int, data: np.ndarray, at: np.ndarray):
-    """Of each anchor: hash, document, place, and first and last window it is least in."""
+    """Of each anchor: hash, document, place, and first and last window it is least in.
+
+    The least of many hashes is small, so it is hashed again: upper bits are even and make even buckets.
+    """
     n = len(data) - GRAM + 1
     empty = np.zeros(0, np.int64)
     if n < window - GRAM + 1:
@@ -82,7 +85,7 @@ def minimizers(window: int, data: np.ndarray, at: np.ndarray):
     last = np.append(first[1:], len(start)) - 1
     whose = doc[start[first]].astype(np.int64)
     base = at[whose]
-    return gram[anchor[first]], whose, anchor[first] - base, start[first] - base, start[last] - base
+    return mix(gram[anchor[first]]), whose, anchor[first] - base, start[first] - base, start[last] - base
 
 
 def byte_anchors(window: int, data: np.ndarray, at: np.ndarray):
