@@ -35,7 +35,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F, Window
 from touchline.llm.text import bytes_of, runs, whole_text
 from touchline.session import fresh_dir
 
-REMEMBERED = 200_000  # pieces that a worker keeps between its tasks, and as many of those used before them
+REMEMBERED = 400_000  # pieces that a worker keeps between its tasks, and as many of those used before them
 
 
 def _plain(piece: str) -> bool:
